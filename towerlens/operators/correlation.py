@@ -4,13 +4,13 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Up to this many columns the pairs fit into one built-in aggregate; beyond it, the generated code
 # of hundreds of aggregates costs more than the rows.
-NARROW = 6
-MOMENTS = ["n", "sx", "sy", "xx", "yy", "xy", "xlo", "xhi", "ylo", "yhi"]
+NARROW = 4
+MOMENTS = ["n", "mx", "my", "xx", "yy", "xy", "xlo", "xhi", "ylo", "yhi"]
 # A pair whose spread is this small against its size may be constant, which rounding would hide.
 SUSPECT = 1e-9
 
@@ -49,42 +49,53 @@ def _built_in(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _by_matrix(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Sums for all pairs at once as matrix products per Arrow batch.
+    """One pass over the rows: each task turns its rows into one row per pair with matrix products,
+    and these are merged by pair.
 
-    Each task returns one row per pair. The values are shifted by the column means first, which
-    leaves the result as it is and keeps the sums of squares accurate.
+    A task reports means and squared deviations, not raw sums of squares, and the merge works on
+    differences to one task's mean, so a large common offset costs no digits.
     """
-    means = rows.agg(*[F.avg(c).alias(c) for c in columns])
-    shifted = rows.select(*[(F.col(c) - means.select(c).scalar()).alias(c) for c in columns])
+    pair = ["i", "j"]
     schema = "i int, j int, " + ", ".join(f"{name} double" for name in MOMENTS)
+    parts = rows.mapInArrow(_pair_moments(len(columns)), schema)
+    # One row per task and pair reaches these windows.
+    same_pair = Window.partitionBy(*pair)
+    n = F.col("n")
+    dx, dy = (
+        F.col(mean) - F.min(F.when(n > 0, F.col(mean))).over(same_pair) for mean in ("mx", "my")
+    )
     total = (
-        shifted.mapInArrow(_pair_moments(), schema)
-        .groupBy("i", "j")
+        parts.withColumns({"dx": dx, "dy": dy})
+        .groupBy(*pair)
         .agg(
-            *[F.sum(name).alias(name) for name in ("n", "sx", "sy", "xx", "yy", "xy")],
+            F.sum("n").alias("n"),
+            F.sum(n * F.col("dx")).alias("sx"),
+            F.sum(n * F.col("dy")).alias("sy"),
+            F.sum(F.col("xx") + n * F.col("dx") * F.col("dx")).alias("xx"),
+            F.sum(F.col("yy") + n * F.col("dy") * F.col("dy")).alias("yy"),
+            F.sum(F.col("xy") + n * F.col("dx") * F.col("dy")).alias("xy"),
             *[F.min(name).alias(name) for name in ("xlo", "ylo")],
             *[F.max(name).alias(name) for name in ("xhi", "yhi")],
         )
     )
-    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
+    sx, sy = F.col("sx"), F.col("sy")
     x_spread = F.col("xx") - F.try_divide(sx * sx, n)
     y_spread = F.col("yy") - F.try_divide(sy * sy, n)
     together = F.col("xy") - F.try_divide(sx * sy, n)
-    varies = (
-        (F.col("xlo") < F.col("xhi")) & (F.col("ylo") < F.col("yhi")) & (x_spread > 0) & (y_spread > 0)
-    )
+    x_varies = (F.col("xlo") < F.col("xhi")) & (x_spread > 0)
+    y_varies = (F.col("ylo") < F.col("yhi")) & (y_spread > 0)
+    value = F.try_divide(together, F.sqrt(x_spread) * F.sqrt(y_spread))
     names = F.array(*[F.lit(c) for c in columns])
-    value = F.when(varies, F.try_divide(together, F.sqrt(x_spread) * F.sqrt(y_spread)))
     return total.select(
         F.get(names, F.col("i")).alias("X"),
         F.get(names, F.col("j")).alias("Y"),
-        _bounded(value).alias("CORR"),
+        _bounded(F.when(x_varies & y_varies, value)).alias("CORR"),
     )
 
 
-def _pair_moments():
-    """The function each task runs. It is built here, with its helper inside, so that it travels to
-    the tasks whole and they need no copy of this package."""
+def _pair_moments(width: int):
+    """The function each task runs. Its helper is inside it, so that it travels to the tasks whole
+    and they need no copy of this package."""
 
     def ranges(x, known, n, s, q):
         # Smallest and largest value of column i where column j is known, looked up only where the
@@ -98,25 +109,32 @@ def _pair_moments():
         return low, high
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = lows = highs = None
+        n, s, q, p = np.zeros((4, width, width))
+        low, high = np.full((2, width, width), np.inf)
+        high = -high
+        offset = np.full(width, np.nan)
         for batch in batches:
-            if not batch.num_rows:
-                continue
             x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
             known = ~np.isnan(x)
-            filled, present = np.where(known, x, 0.0), known.astype(float)
-            n = present.T @ present
-            s = filled.T @ present  # s[i, j]: sum of column i where column j is known
-            q = (filled * filled).T @ present
-            low, high = ranges(x, known, n, s, q)
-            part = np.stack([n, s, s.T, q, q.T, filled.T @ filled])
-            sums = part if sums is None else sums + part
-            lows = low if lows is None else np.minimum(lows, low)
-            highs = high if highs is None else np.maximum(highs, high)
-        if sums is None:
-            return
-        i, j = np.triu_indices(sums.shape[1])
-        values = [*sums[:, i, j], lows[i, j], highs[i, j], lows[j, i], highs[j, i]]
+            # The first known value of a column is its offset in this task.
+            for i in np.nonzero(np.isnan(offset) & known.any(axis=0))[0]:
+                offset[i] = x[known[:, i].argmax(), i]
+            filled, present = np.where(known, x - offset, 0.0), known.astype(float)
+            batch_n = present.T @ present
+            batch_s = filled.T @ present  # [i, j]: sum of column i where column j is known
+            batch_q = (filled * filled).T @ present
+            batch_low, batch_high = ranges(x, known, batch_n, batch_s, batch_q)
+            n, s, q, p = n + batch_n, s + batch_s, q + batch_q, p + filled.T @ filled
+            low, high = np.minimum(low, batch_low), np.maximum(high, batch_high)
+        mean = np.divide(s, n, out=np.zeros_like(s), where=n > 0)
+        offset = np.nan_to_num(offset)
+        spread, together = q - s * mean, p - s * mean.T
+        i, j = np.triu_indices(width)
+        values = [
+            n[i, j], mean[i, j] + offset[i], mean[j, i] + offset[j],
+            spread[i, j], spread[j, i], together[i, j],
+            low[i, j], high[i, j], low[j, i], high[j, i],
+        ]
         places = [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32))]
         yield pa.RecordBatch.from_arrays(
             places + [pa.array(v) for v in values], names=["i", "j", *MOMENTS]

@@ -112,9 +112,7 @@ def per_layer(name: str, expression: str) -> str:
 
 def correlation(layer: str, columns: list[str]) -> str:
     values = ", ".join(
-        f"{{'x': '{x}', 'y': '{y}', 'c': CASE WHEN min({x}) FILTER (WHERE {y} IS NOT NULL) <"
-        f" max({x}) FILTER (WHERE {y} IS NOT NULL) AND min({y}) FILTER (WHERE {x} IS NOT NULL) <"
-        f" max({y}) FILTER (WHERE {x} IS NOT NULL) THEN corr({x}, {y}) END}}"
+        f"{{'x': '{x}', 'y': '{y}', 'c': CASE WHEN NOT isnan(corr({x}, {y})) THEN corr({x}, {y}) END}}"
         for x, y in combinations_with_replacement(columns, 2)
     )
     return f"""WITH {TO_GEN}, wide AS (SELECT [{values}] AS pairs FROM ({layer_rows(layer, columns)})),
@@ -209,7 +207,7 @@ def table_profile() -> str:
 def filled(metric: str) -> str:
     return (
         f"round(coalesce({metric}, avg({metric}) OVER (PARTITION BY CELL_LAC_ID, isodow(KPI_DATE) >= 6),"
-        f" avg({metric}) OVER (PARTITION BY CELL_LAC_ID)), 4) AS {metric}"
+        f" avg({metric}) OVER (PARTITION BY CELL_LAC_ID)), 6) AS {metric}"
     )
 
 
@@ -317,9 +315,9 @@ ORACLES: dict[str, str] = {
     "voice_only_subscribers": f"WITH {VOICE} SELECT DISTINCT SK_ID FROM voice"
     " WHERE SK_ID NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL)",
     "subject_summary": f"WITH {FEATURES}, {SUMMARY} SELECT SK_ID, CNT_MONTHS,"
-    " round(AVG_REVENUE, 4) AS AVG_REVENUE, PHONE_GEN FROM summary",
-    "feature_mart": f"WITH {TO_MART} SELECT SK_ID, CSI, CNT_MONTHS, round(AVG_REVENUE, 4) AS AVG_REVENUE,"
-    f" PHONE_GEN, {traffic_columns('DATA_VOL', 4)} FROM mart",
+    " round(AVG_REVENUE, 6) AS AVG_REVENUE, PHONE_GEN FROM summary",
+    "feature_mart": f"WITH {TO_MART} SELECT SK_ID, CSI, CNT_MONTHS, round(AVG_REVENUE, 6) AS AVG_REVENUE,"
+    f" PHONE_GEN, {traffic_columns('DATA_VOL', 6)} FROM mart",
     "layer_exposure_by_outcome": f"""WITH {TO_MART} SELECT CSI, round(avg("CNT_HOURS_2G"), 6) AS MEAN,
       count(*) AS N FROM mart WHERE PHONE_GEN = '4G' GROUP BY CSI""",
     "wrong_layer_share": f"""WITH {TO_TRAFFIC}, {FEATURES}, {SUMMARY},

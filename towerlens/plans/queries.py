@@ -109,7 +109,7 @@ def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def day_type_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     kpi = standins.cell_kpi(spark, sf_dir).select("ROW_ID", "KPI_DATE", CELL, *VOLUMES_4G)
-    return rounded(fill_by_day_type(kpi, CELL, "KPI_DATE", VOLUMES_4G), 4)
+    return rounded(fill_by_day_type(kpi, CELL, "KPI_DATE", VOLUMES_4G))
 
 
 def channel_missing_share(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -383,8 +383,8 @@ QUERIES: dict[str, Query] = {
     "traffic_by_layer": lambda spark, sf_dir: rounded(data_traffic(spark, sf_dir)),
     "voice_by_layer": voice_traffic,
     "voice_only_subscribers": voice_only,
-    "subject_summary": on_kpi(lambda df: rounded(analyses.subscriber_summary(df), 4), features),
-    "feature_mart": lambda spark, sf_dir: rounded(mart(spark, sf_dir), 4),
+    "subject_summary": on_kpi(lambda df: rounded(analyses.subscriber_summary(df)), features),
+    "feature_mart": lambda spark, sf_dir: rounded(mart(spark, sf_dir)),
     "layer_exposure_by_outcome": lambda spark, sf_dir: rounded(
         analyses.layer_exposure_by_outcome(mart(spark, sf_dir))
     ),
