@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from towerlens.functions.columns import without_nan
+
 # Up to this many columns the pairs fit into one built-in aggregate; beyond it, the generated code
 # of hundreds of aggregates costs more than the rows.
 NARROW = 4
@@ -18,7 +20,7 @@ SUSPECT = 1e-9
 def correlation_matrix(df: DataFrame, columns: Sequence[str], narrow: int = NARROW) -> DataFrame:
     """Every ordered pair (X, Y) with CORR, null where either column does not vary."""
     columns = list(columns)
-    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    rows = df.select(*[without_nan(F.col(c).cast("double")).alias(c) for c in columns])
     pairs = _built_in(rows, columns) if len(columns) <= narrow else _by_matrix(rows, columns)
     both_ways = F.array(
         F.struct(F.col("X"), F.col("Y"), F.col("CORR")),
@@ -30,7 +32,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], narrow: int = NARR
 
 
 def _bounded(correlation: Column) -> Column:
-    return F.greatest(F.least(correlation, F.lit(1.0)), F.lit(-1.0))
+    within = F.greatest(F.least(correlation, F.lit(1.0)), F.lit(-1.0))
+    return F.when(correlation.isNotNull(), within)  # least and greatest skip nulls
 
 
 def _built_in(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -57,7 +60,7 @@ def _by_matrix(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     pair = ["i", "j"]
     schema = "i int, j int, " + ", ".join(f"{name} double" for name in MOMENTS)
-    parts = rows.mapInArrow(_pair_moments(len(columns)), schema)
+    parts = rows.mapInArrow(_pair_moments(len(columns)), schema).union(_no_rows(rows, len(columns)))
     # One row per task and pair reaches these windows.
     same_pair = Window.partitionBy(*pair)
     n = F.col("n")
@@ -93,6 +96,18 @@ def _by_matrix(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def _no_rows(df: DataFrame, width: int) -> DataFrame:
+    """What a task without rows reports, so that every pair is there."""
+    place = F.col("id")
+    moments = {"xlo": np.inf, "xhi": -np.inf, "ylo": np.inf, "yhi": -np.inf}
+    return (
+        df.sparkSession.range(width * width, numPartitions=1)
+        .select(F.floor(place / width).cast("int").alias("i"), (place % width).cast("int").alias("j"))
+        .where("i <= j")
+        .select("i", "j", *[F.lit(float(moments.get(name, 0))).alias(name) for name in MOMENTS])
+    )
+
+
 def _pair_moments(width: int):
     """The function each task runs. Its helper is inside it, so that it travels to the tasks whole
     and they need no copy of this package."""

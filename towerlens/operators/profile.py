@@ -55,8 +55,8 @@ def cardinality_profile(
 ) -> DataFrame:
     """Distinct non-null values per column, smallest first.
 
-    The exact count goes over (column, value) pairs, so that each row is not widened once per column
-    as several distinct counts in one aggregate would do.
+    The exact count goes over pairs of column number and value. Several distinct counts in one
+    aggregate would instead shuffle whole rows once per column.
     """
     columns = list(columns)
     if approximate:
@@ -69,11 +69,12 @@ def cardinality_profile(
         profile = None
         for names in by_type.values():
             part = (
-                df.unpivot([], names, "METRIC", "VALUE")
-                .groupBy("METRIC", "VALUE")
+                df.select(F.posexplode(F.array(*names)).alias("place", "value"))
+                .groupBy("place", "value")
                 .agg(F.lit(1).alias("once"))
-                .groupBy("METRIC")
-                .agg(F.count("VALUE").alias("N_DISTINCT"))
+                .groupBy("place")
+                .agg(F.count("value").alias("N_DISTINCT"))
+                .select(F.get(F.array(*map(F.lit, names)), "place").alias("METRIC"), "N_DISTINCT")
             )
             profile = part if profile is None else profile.unionByName(part)
     return profile.orderBy("N_DISTINCT", "METRIC")

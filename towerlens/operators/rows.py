@@ -19,5 +19,13 @@ def random_rows(df: DataFrame, key: Sequence[str], n: int, seed: int = 0) -> Dat
 
 
 def sorted_by_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Sorted by many columns, missing values last."""
-    return df.orderBy(*[F.asc_nulls_last(c) for c in columns])
+    """Sorted by many columns, missing values last.
+
+    Rows that agree in all of them are spread by the partition they come from, as a sort would
+    otherwise put all of them into one task.
+    """
+    return (
+        df.withColumn("_from", F.spark_partition_id())
+        .orderBy(*[F.asc_nulls_last(c) for c in columns], "_from")
+        .drop("_from")
+    )

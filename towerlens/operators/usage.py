@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from towerlens.functions.columns import date_of, day_of
 from towerlens.operators.lookups import lookup_join
+from towerlens.operators.rows import sorted_by_columns
 
 
 def top_cells(
@@ -87,6 +88,5 @@ def metric_history(
 ) -> DataFrame:
     """A measurement in date order, nulls kept, for every key or for one of them."""
     rows = df if only is None else df.where(F.col(key) == only)
-    return rows.select(key, date_of(F.col(day)).alias("DATE"), metric).orderBy(
-        key, F.asc_nulls_last("DATE"), F.asc_nulls_last(metric)
-    )
+    dated = rows.select(key, date_of(F.col(day)).alias("DATE"), metric)
+    return sorted_by_columns(dated, [key, "DATE", metric])
