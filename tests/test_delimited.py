@@ -54,3 +54,17 @@ def test_round_trip(spark, tmp_path, rows):
     out = str(tmp_path / "out")
     d.write_delimited(df, out)
     assert rows(d.read_typed(spark, out, TYPES)) == rows(df)
+
+
+def test_position_keeps_the_order_of_the_lines(spark, tmp_path):
+    file = tmp_path / "subs_test.csv"
+    ids = [(i * 7919) % 20011 for i in range(20000)]
+    file.write_text("SK_ID\n" + "".join(f"{i}\n" for i in ids))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        df = d.with_position(d.read_raw(spark, str(file)))
+        assert df.rdd.getNumPartitions() > 3
+        shuffled = df.repartition(5, "SK_ID").orderBy("POSITION")
+        assert [int(r.SK_ID) for r in shuffled.collect()] == ids
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -67,6 +67,16 @@ def test_small_lookup_is_broadcast_and_large_one_is_not(tables):
     assert "strategy=broadcast" not in large and "_salt" in large
 
 
+def test_folder_without_a_setting():
+    settings = {"spark.checkpoint.dir": "", "spark.master": "local[2]"}
+    fake = type("Session", (), {"conf": settings})
+    folder = shared_folder(fake)
+    assert folder == shared_folder(fake) and "towerlens-" in folder
+    settings["spark.master"] = "yarn"
+    with pytest.raises(ValueError):
+        shared_folder(fake)
+
+
 def test_written_tables_lie_in_the_shared_folder(spark, tables, rows):
     _, lookup = tables
     copy = written(lookup, "copy")

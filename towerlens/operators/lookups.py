@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from towerlens.sources.workspace import written
 
-# A lookup with at most this many values (rows x columns) is broadcast: 4 million values are
-# some 32 MB of doubles or longs, or about twice that with short labels.
-BROADCAST_VALUES = 4_000_000
+# A lookup with at most this many values (rows x columns) is broadcast. With a key and a short label
+# that is a million rows, some 50 to 100 MB as a hash table.
+BROADCAST_VALUES = 2_000_000
 HOT_KEYS = 32
 
 

@@ -56,6 +56,21 @@ def read_train_test(
     return train.unionByName(test, allowMissingColumns=True)
 
 
+def with_position(raw: DataFrame, position: str = "POSITION") -> DataFrame:
+    """Adds a column that sorts like the lines of the file just read.
+
+    It is made of file, block and place within the block, so that blocks are read apart.
+    """
+    return raw.select(
+        "*",
+        F.struct(
+            F.col("_metadata.file_path"),
+            F.col("_metadata.file_block_start"),
+            F.monotonically_increasing_id().alias("place"),
+        ).alias(position),
+    )
+
+
 def write_delimited(df: DataFrame, path: str, header: bool = True) -> None:
     """Writes the rows in their order, as part files, numbers with a decimal comma."""
     columns = [

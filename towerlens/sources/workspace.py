@@ -2,17 +2,27 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="towerlens-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by the cluster in ``spark.checkpoint.dir``; one of our own where it is unset."""
+    """Folder named by the cluster in ``spark.checkpoint.dir``.
+
+    Where it is unset, a folder of our own, but only if all of Spark runs on this machine.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="towerlens-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _own_folder()
 
 
 def new_path(spark: SparkSession, name: str) -> str:
