@@ -7,7 +7,7 @@ TYPES = {"SK_ID": "bigint", "REVENUE": "double", "CODE": "int", "T": "string"}
 
 @pytest.fixture
 def path(tmp_path):
-    file = tmp_path / "features_train.csv"
+    file = tmp_path / "first.csv"
     file.write_text(
         "SK_ID;T;REVENUE;CODE;OTHER\n1;01.03;99,93;2,0;x\n2;NA;;3;\n3;02.03;junk;x;null\n4;02.03;-1e3;1;y\n"
     )
@@ -39,7 +39,7 @@ def test_preview(spark, path):
 
 
 def test_train_and_test_with_other_columns(spark, path, tmp_path, rows):
-    test = tmp_path / "features_test.csv"
+    test = tmp_path / "second.csv"
     test.write_text("REVENUE;SK_ID\n5,5;9\n")
     both = d.read_train_test(spark, path, str(test), TYPES)
     assert rows(both.where("SPLIT = 'test'").select("SK_ID", "REVENUE", "T")) == [(9, 5.5, None)]
@@ -57,7 +57,7 @@ def test_round_trip(spark, tmp_path, rows):
 
 
 def test_position_keeps_the_order_of_the_lines(spark, tmp_path):
-    file = tmp_path / "subs_test.csv"
+    file = tmp_path / "lines.csv"
     ids = [(i * 7919) % 20011 for i in range(20000)]
     file.write_text("SK_ID\n" + "".join(f"{i}\n" for i in ids))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")

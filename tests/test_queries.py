@@ -6,6 +6,9 @@ import compare
 import pytest
 
 import __spark_entry__ as contract
+from towerlens.operators.usage import metric_history
+from towerlens.plans import analyses
+from towerlens.sources import standins
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 WITHOUT_SQL = {"kpi_components", "cell_clusters", "outcome_scores", "outcome_auc", "csv_preview"}
@@ -23,9 +26,17 @@ def test_every_query_has_sql_or_a_test_of_its_own():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_equals_sql(spark, database, name):
-    got = compare.rows_of(contract.queries()[name](spark, SF_DIR))
+    df = contract.queries()[name](spark, SF_DIR)
+    plan = plan_of(df)
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    assert "Python" not in plan and ("InArrow" in plan) == name.startswith("correlation")
+    got = compare.rows_of(df)
     wanted = compare.expected(database, contract.oracle_sql()[name])
     assert sorted(got.columns) == sorted(wanted.columns)
     assert compare.canonical(got) == compare.canonical(wanted)
@@ -40,3 +51,28 @@ def test_entry(spark):
     result = contract.entry(spark)
     assert result.columns == ["CSI", "MEAN", "N"]
     assert result.count() == 2
+
+
+def test_only_needed_columns_are_read(spark, tmp_path):
+    path = str(tmp_path / "kpi")
+    standins.cell_kpi(spark, SF_DIR).write.parquet(path)
+    plan = plan_of(analyses.cell_layers(spark.read.parquet(path)))
+    assert "CSSR_2G" in plan and "CELL_AVAILABILITY" not in plan and "T_DATE" not in plan
+    one_cell = analyses.CELL + " = 5"
+    plan = plan_of(spark.read.parquet(path).where(one_cell).select("T_DATE"))
+    assert "EqualTo(CELL_LAC_ID,5)" in plan
+
+
+def test_one_subscriber(spark, rows):
+    usage = standins.consumption(spark, SF_DIR)
+    every = analyses.important_cells(usage, "SUM_DATA_MB")
+    one = analyses.important_cells(usage, "SUM_DATA_MB", subscriber=7)
+    cells = ["SK_ID", "CELL_LAC_ID"]
+    assert rows(one.select(cells)) == rows(every.where("SK_ID = 7").select(cells))
+
+
+def test_one_cell(spark):
+    kpi = standins.cell_kpi(spark, SF_DIR)
+    history = metric_history(kpi, "CELL_LAC_ID", "T_DATE", "DL_VOLUME_LTE", only=5)
+    dates = [row.DATE for row in history.collect() if row.DATE]
+    assert len(dates) > 100 and dates == sorted(dates)

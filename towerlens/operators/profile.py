@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from towerlens.functions.columns import bin_number
+from towerlens.sources.workspace import written
 
 
 def table_profile(df: DataFrame) -> DataFrame:
@@ -105,27 +106,32 @@ def equal_width_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     Where all values are equal, the bins span half a unit to both sides of it.
     """
     values = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
-    bounds = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).select(
-        F.when(F.col("lo") < F.col("hi"), F.col("lo")).otherwise(F.col("lo") - 0.5).alias("lo"),
-        F.when(F.col("lo") < F.col("hi"), F.col("hi")).otherwise(F.col("hi") + 0.5).alias("hi"),
-    )
-    low, high = bounds.select("lo").scalar(), bounds.select("hi").scalar()
-    counted = values.groupBy(bin_number(F.col("x"), low, high, bins).alias("BIN")).agg(
-        F.count("*").alias("N")
-    )
-    numbers = bounds.where(F.col("lo").isNotNull()).select(
-        F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("BIN"),
-        "lo",
-        ((F.col("hi") - F.col("lo")) / bins).alias("width"),
+    differ = F.min("x") < F.max("x")
+    bounds = values.agg(
+        F.struct(
+            F.when(differ, F.min("x")).otherwise(F.min("x") - 0.5).alias("lo"),
+            F.when(differ, F.max("x")).otherwise(F.max("x") + 0.5).alias("hi"),
+        )
+    ).scalar()
+    counted = (
+        values.withColumn("bounds", bounds)
+        .groupBy(bin_number(F.col("x"), F.col("bounds.lo"), F.col("bounds.hi"), bins).alias("BIN"))
+        .agg(F.count("*").alias("N"))
     )
-    return (
-        numbers.join(counted, "BIN", "left")
+    width = (F.col("bounds.hi") - F.col("bounds.lo")) / bins
+    edges = (
+        df.sparkSession.range(1, bins + 1, numPartitions=1)
+        .select(F.col("id").cast("int").alias("BIN"), bounds.alias("bounds"))
+        .where(F.col("bounds.lo").isNotNull())
         .select(
             "BIN",
-            (F.col("lo") + (F.col("BIN") - 1) * F.col("width")).alias("LOWER"),
-            (F.col("lo") + F.col("BIN") * F.col("width")).alias("UPPER"),
-            F.coalesce("N", F.lit(0)).cast("bigint").alias("N"),
+            (F.col("bounds.lo") + (F.col("BIN") - 1) * width).alias("LOWER"),
+            (F.col("bounds.lo") + F.col("BIN") * width).alias("UPPER"),
         )
+    )
+    return (
+        edges.join(counted, "BIN", "left")
+        .withColumn("N", F.coalesce("N", F.lit(0)).cast("bigint"))
         .orderBy("BIN")
     )
 
@@ -144,9 +150,10 @@ def items_per_subject_histogram(
 ) -> DataFrame:
     """Histogram of how many items a subject has.
 
-    ``of_frequencies`` takes it over how often each count occurs instead of over the counts.
+    ``of_frequencies`` takes it over how often each count occurs instead of over the counts. The
+    counts are written once, as their range and their bins are both needed.
     """
-    counts = items_per_subject(df, subject, item)
+    counts = written(items_per_subject(df, subject, item), "items-per-subject")
     if of_frequencies:
         return equal_width_histogram(value_frequency(counts, "N_ITEMS", False), "N", bins)
     return equal_width_histogram(counts, "N_ITEMS", bins)

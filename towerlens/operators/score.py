@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from towerlens import fixed
 from towerlens.functions.columns import percent_slot
+from towerlens.sources.workspace import written
 
 BUCKETS = 256
 
@@ -16,7 +17,8 @@ def roc_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> Da
 
     Equal scores are merged first. The merged scores are cut at approximate quantiles into a fixed
     number of ranges: the running count of negatives is a sum over lower ranges plus a window within
-    each range, so no task has to hold all scores. The cuts only balance the work.
+    each range, so no task has to hold all scores. The cuts only balance the work. The merged scores
+    are written once, as the cuts, the sums and the windows all read them.
     """
     by = list(by)
     merged = (
@@ -28,6 +30,7 @@ def roc_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> Da
             F.sum((F.col("label") == 0).cast("bigint")).alias("negative"),
         )
     )
+    merged = written(merged, "merged-scores")
     shares = [place / BUCKETS for place in range(1, BUCKETS)]
     cuts = merged.agg(F.percentile_approx("score", shares, 10_000)).scalar()
     lower_cuts = F.filter("cuts", lambda cut: cut < F.col("score"))

@@ -41,12 +41,17 @@ def pruned_by_layer(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def last_month(features: DataFrame) -> DataFrame:
+    """The features of the last month there is."""
+    return features.where(F.col("MONTH") == features.agg(F.max("MONTH")).scalar())
+
+
 def last_month_means(features: DataFrame, usage: DataFrame) -> DataFrame:
     """Mean data volume per device code in the last month of the features."""
-    last = features.agg(F.max("MONTH")).scalar()
+    same_month = F.col("MONTH") == features.agg(F.max("MONTH")).scalar()
     return mean_by_code(
-        features.where(F.col("MONTH") == last),
-        usage.where(F.col("MONTH") == last),
+        last_month(features),
+        usage.where(same_month),
         [SUBSCRIBER],
         "INTERNET_TYPE_ID",
         "SUM_DATA_MB",

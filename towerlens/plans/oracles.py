@@ -273,6 +273,8 @@ ORACLES: dict[str, str] = {
     # phone layers
     "code_frequency": f"WITH {FEATURES} SELECT INTERNET_TYPE_ID, count(*) AS N FROM features"
     " GROUP BY INTERNET_TYPE_ID",
+    "code_frequency_last_month": f"WITH {FEATURES} SELECT INTERNET_TYPE_ID, count(*) AS N FROM features"
+    " WHERE MONTH = (SELECT max(MONTH) FROM features) GROUP BY INTERNET_TYPE_ID",
     "month_frequency": f"WITH {USAGE} SELECT MON, count(*) AS N FROM consumption GROUP BY MON",
     "mean_by_code": MEAN_BY_CODE,
     "mean_by_code_last_month": mean_by_code("SK_ID", LAST_MONTH),

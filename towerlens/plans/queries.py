@@ -147,6 +147,12 @@ def last_month_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(means, 4)
 
 
+def last_month_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.value_frequency(
+        analyses.last_month(features(spark, sf_dir)), "INTERNET_TYPE_ID"
+    )
+
+
 def device_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analyses.device_labels(month_means(spark, sf_dir))
 
@@ -351,6 +357,7 @@ QUERIES: dict[str, Query] = {
     "cell_clusters": cell_clusters,
     # phone layers
     "code_frequency": on_kpi(lambda df: profile.value_frequency(df, "INTERNET_TYPE_ID"), features),
+    "code_frequency_last_month": last_month_codes,
     "month_frequency": on_kpi(
         lambda df: profile.value_frequency(df, "MON", keep_null=False), standins.consumption
     ),
