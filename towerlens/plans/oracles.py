@@ -207,7 +207,7 @@ def table_profile() -> str:
 def filled(metric: str) -> str:
     return (
         f"round(coalesce({metric}, avg({metric}) OVER (PARTITION BY CELL_LAC_ID, isodow(KPI_DATE) >= 6),"
-        f" avg({metric}) OVER (PARTITION BY CELL_LAC_ID)), 6) AS {metric}"
+        f" avg({metric}) OVER (PARTITION BY CELL_LAC_ID)), 10) AS {metric}"
     )
 
 
@@ -257,10 +257,9 @@ ORACLES: dict[str, str] = {
     "presence_flags": f"WITH {kpi()} SELECT ROW_ID, CELL_LAC_ID, "
     + ", ".join(f"CAST({c} IS NOT NULL AS INT) AS HAS_{c}" for c in fixed.KPI_4G)
     + " FROM kpi",
-    "impute_daytype": f"WITH {kpi()} SELECT ROW_ID, KPI_DATE, CELL_LAC_ID, {filled('UL_VOLUME_LTE')},"
-    f" {filled('DL_VOLUME_LTE')} FROM kpi",
-    "kpi_anomalies": f"WITH {anomalies(2.0)} SELECT CELL_LAC_ID, METRIC, round(VALUE, 6) AS VALUE,"
-    " round(Z, 6) AS Z FROM anomalies",
+    "impute_daytype": f"WITH {kpi()} SELECT ROW_ID, KPI_DATE, CELL_LAC_ID,"
+    f" {', '.join(map(filled, ['PART_CQI_QPSK_LTE', 'RBU_AVAIL_DL_LTE', 'DL_VOLUME_LTE']))} FROM kpi",
+    "kpi_anomalies": f"WITH {anomalies(2.0)} SELECT CELL_LAC_ID, METRIC, round(Z, 6) AS Z FROM anomalies",
     "kpi_anomaly_counts": f"WITH {anomalies(1.5)} SELECT CELL_LAC_ID, count(*) AS N_METRICS,"
     " round(max(abs(Z)), 6) AS MAX_Z FROM anomalies GROUP BY CELL_LAC_ID HAVING count(*) >= 2",
     "channel_missing_share": f"WITH {TO_GEN}, {CHANNEL}, placed AS (SELECT channel.*, GEN FROM channel"

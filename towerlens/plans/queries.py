@@ -35,7 +35,7 @@ FEATURE_TYPES = {
 }
 # A numeric column that also holds missing marks and junk, for the parse check.
 MIXED_TEXT = "CASE WHEN l_returnflag = 'R' THEN l_linestatus WHEN l_returnflag = 'N' THEN 'NA' ELSE '99,93' END"
-VOLUMES_4G = ["UL_VOLUME_LTE", "DL_VOLUME_LTE"]
+FILLED_4G = ["PART_CQI_QPSK_LTE", "RBU_AVAIL_DL_LTE", "DL_VOLUME_LTE"]
 EXPOSURE = [f"{name}_{layer}" for name in ("DATA_VOL", "CNT_DAYS", "CNT_HOURS") for layer in fixed.LAYERS]
 
 
@@ -108,8 +108,8 @@ def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def day_type_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kpi = standins.cell_kpi(spark, sf_dir).select("ROW_ID", "KPI_DATE", CELL, *VOLUMES_4G)
-    return rounded(fill_by_day_type(kpi, CELL, "KPI_DATE", VOLUMES_4G))
+    kpi = standins.cell_kpi(spark, sf_dir).select("ROW_ID", "KPI_DATE", CELL, *FILLED_4G)
+    return rounded(fill_by_day_type(kpi, CELL, "KPI_DATE", FILLED_4G), 10)
 
 
 def channel_missing_share(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,7 +343,9 @@ QUERIES: dict[str, Query] = {
     "presence_flags": presence,
     "impute_daytype": day_type_fill,
     "kpi_anomalies": on_kpi(
-        lambda kpi: rounded(anomalies.anomalous_keys(kpi, CELL, fixed.KPI_COLUMNS, 2.0))
+        lambda kpi: rounded(
+            anomalies.anomalous_keys(kpi, CELL, fixed.KPI_COLUMNS, 2.0).select(CELL, "METRIC", "Z")
+        )
     ),
     "kpi_anomaly_counts": on_kpi(
         lambda kpi: rounded(
