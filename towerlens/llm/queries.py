@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from towerlens.llm import pieces, quality, simhash, token_counts
+from towerlens.llm import pieces, quality, simhash, substrings, token_counts
 
 TOKEN_LIMIT = 2048
 
@@ -19,6 +19,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(_table(spark, sf_dir, "documents"))
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removals(_table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_counts.over_limit(token_counts.token_counts(_table(spark, sf_dir, "documents"), path), TOKEN_LIMIT)
@@ -35,11 +39,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_substrings": op2_substrings,
     "op3_token_counts": op3_token_counts,
     "op4_sentencepiece": op4_sentencepiece,
     "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_substrings": substrings.ORACLE,
     "op9_quality_rules": quality.ORACLE,
 }
