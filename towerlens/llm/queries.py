@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from towerlens.llm import pieces, quality, simhash, substrings, token_counts
+from towerlens.llm import minhash, pieces, quality, simhash, substrings, token_counts
 
 TOKEN_LIMIT = 2048
 
@@ -37,12 +37,21 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = minhash.edited_likeness(_table(spark, sf_dir, "documents"))
+    digest = F.sha2("edited", 256).alias("edited_sha256")
+    return rows.select(
+        "doc_id", "n_chars", digest, "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_substrings": op2_substrings,
     "op3_token_counts": op3_token_counts,
     "op4_sentencepiece": op4_sentencepiece,
     "op9_quality_rules": op9_quality_rules,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
