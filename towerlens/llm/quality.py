@@ -143,12 +143,12 @@ def thresholds(measured: DataFrame) -> DataFrame:
     ]
     rows = levels[0][0].select("lang", "source", F.struct("docs", *MEASURES).alias("own"))
     language = levels[1][0].select(F.col("lang").alias("_lang"), F.struct("docs", *MEASURES).alias("language"))
-    every = levels[2][0].select(F.struct("docs", *MEASURES).alias("every"))
-    rows = rows.join(language, F.col("lang").eqNullSafe(F.col("_lang"))).join(F.broadcast(every))
+    every = levels[2][0].select(F.struct("docs", *MEASURES)).scalar()
+    rows = rows.join(language, F.col("lang").eqNullSafe(F.col("_lang")))
     chosen = (
         F.when(F.col("own.docs") >= LEAST_DOCS, F.col("own"))
         .when(F.col("language.docs") >= LEAST_DOCS, F.col("language"))
-        .otherwise(F.col("every"))
+        .otherwise(every)
     )
     return rows.select("lang", "source", chosen.alias("cut"))
 

@@ -6,10 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from towerlens.llm import minhash, pieces, quality, simhash, substrings, token_counts
+from towerlens.llm import chats, html_text, languages, minhash, mixing, pieces, quality, simhash, substrings, token_counts
 
 TOKEN_LIMIT = 2048
 
+# The mix: documents have no domain of their own, so one is told from the last digit of the source's name.
+MIX_LEVELS_SQL = {
+    "domain": "CASE WHEN right(source, 1) IN ('0', '1', '2', '3', '4') THEN 'web' ELSE 'reference' END",
+    "lang": "lang",
+    "source": "source",
+}
+MIX = {
+    "weights": {"domain": {"web": 3, "reference": 2}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}},
+    "share": (3, 5),
+    "epochs": 2,
+    "seed": 20240501,
+}
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -33,6 +46,31 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *pieces.digests())
 
 
+def op5_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chats.rendered(_table(spark, sf_dir, "conversations"))
+
+
+def mix(docs: DataFrame) -> DataFrame:
+    return mixing.mixed(docs, {name: F.expr(sql) for name, sql in MIX_LEVELS_SQL.items()}, **MIX)
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mix(docs).select("row.doc_id", *MIX_LEVELS_SQL, "n_tokens", "epoch")
+
+
+def op7_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = languages.learned(docs.where(fold != 1))
+    docs = docs.select("doc_id", "text", F.coalesce(fold == 1, F.lit(False)).alias("held_out"))
+    return languages.predicted(docs, model, ["doc_id", "held_out"])
+
+
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(_table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(_table(spark, sf_dir, "documents"))
 
@@ -50,11 +88,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substrings": op2_substrings,
     "op3_token_counts": op3_token_counts,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_chats": op5_chats,
+    "op6_mixing": op6_mixing,
+    "op7_languages": op7_languages,
+    "op8_main_text": op8_main_text,
     "op9_quality_rules": op9_quality_rules,
     "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
     "op2_substrings": substrings.ORACLE,
+    "op5_chats": chats.ORACLE,
+    "op6_mixing": mixing.oracle(MIX_LEVELS_SQL, **MIX),
     "op9_quality_rules": quality.ORACLE,
 }
