@@ -82,12 +82,13 @@ def _flags(name: str, attributes: str, main: bool) -> tuple[bool, bool]:
     """Whether an element marks boilerplate, and whether it marks content."""
     marked, content = name in ASIDE or (name == "header" and not main), name in MAIN
     if attributes and not attributes.isspace():
+        whole_page = name in ("html", "body")
         for key, *values in _NAMED.findall(attributes):
             key, value = key.lower(), "".join(values)
             if key in ("class", "id", "role"):
                 words = set(_WORD.findall(_CAMEL.sub(r"\1 \2", value).lower()))
-                marked |= name not in ("html", "body") and not words.isdisjoint(MARKED)
-                content |= not words.isdisjoint(MAIN_WORDS)
+                marked |= not whole_page and not words.isdisjoint(MARKED)
+                content |= not whole_page and not words.isdisjoint(MAIN_WORDS)
             elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or _HIDDEN.search(value):
                 marked = True
     return marked, content
