@@ -1,8 +1,9 @@
 """Documents cut into pieces of text, kept as blocks with a dictionary of pieces each.
 
 A block holds some megabytes of text: every distinct piece once, and per document the places of its pieces in
-that dictionary. Only the dictionaries are joined over the whole corpus, a small part of the text, and results
-come back to a block by its number. Blocks have a bounded size, so no task has to gather more than one.
+that dictionary. Only the dictionaries meet over the whole corpus, a small part of the text: each is dealt out by
+the hash of its pieces, so that equal pieces of all blocks come together and are looked at once, and what is
+found goes back to the blocks. Blocks and slices have a bounded size, so no task gathers more than one.
 """
 
 import zlib
@@ -20,6 +21,8 @@ from towerlens.sources.workspace import new_path
 
 # Bytes of text in one block; a longer text is a block of its own.
 BLOCK_BYTES = 32 << 20
+# Slices of a dictionary, so many for each shuffle partition.
+SLICES = 4
 
 
 def packed(numbers: list[np.ndarray]) -> bytes:
@@ -34,8 +37,10 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 class _Block:
+    """Pieces are numbered as they come, so frequent ones get small numbers."""
+
     def __init__(self) -> None:
-        self.index: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.index: defaultdict[bytes | str, int] = defaultdict(count().__next__)
         self.ids, self.n_bytes, self.sizes, self.places, self.counts = [], [], [], [], []
 
     def add(self, name: pa.Scalar, text: bytes, pieces: list, in_order: bool) -> None:
@@ -47,10 +52,22 @@ class _Block:
         if not in_order:
             self.counts.append(np.fromiter(found.values(), np.uint32, len(found)))
 
-    def row(self, number: int, schema: pa.Schema) -> pa.RecordBatch:
-        pieces = [piece if isinstance(piece, str) else piece.decode() for piece in self.index]
-        values = [number, self.ids, self.n_bytes, self.sizes, pieces, packed(self.places), packed(self.counts)]
-        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
+    def rows(self, number: int, n_slices: int, schema: pa.Schema) -> pa.RecordBatch:
+        """One row of documents, which also says in what slice each piece is, and a row for each slice."""
+        pieces = [piece if isinstance(piece, bytes) else piece.encode() for piece in self.index]
+        slices = np.fromiter(map(zlib.crc32, pieces), np.uint32, len(pieces)) % np.uint32(n_slices)
+        order = np.argsort(slices, kind="stable")
+        kinds, firsts = np.unique(slices[order], return_index=True)
+        offsets = pa.array(np.concatenate([[0, 0], firsts[1:], [len(pieces)]] if len(kinds) else [[0, 0]]).astype(np.int32))
+        texts = pa.array([pieces[place] for place in order.tolist()], pa.binary()).cast(pa.string())
+        docs = [self.ids, self.n_bytes, self.sizes, packed([slices]), packed(self.places), packed(self.counts)]
+        columns = [
+            pa.array([number] * (len(kinds) + 1), pa.int64()),
+            pa.array([-1, *kinds.tolist()], pa.int32()),
+            pa.ListArray.from_arrays(offsets, texts),
+            *[pa.array([value, *[None] * len(kinds)], kind) for value, kind in zip(docs, schema.types[3:])],
+        ]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
 def blocks(docs: DataFrame, id_col: str, text_col: str, cut: Callable[[bytes], list], in_order: bool) -> DataFrame:
@@ -62,19 +79,25 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, cut: Callable[[bytes], l
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).cast("binary").alias("text"))
     kind = dict(slim.dtypes)["id"]
-    schema = f"block long, ids array<{kind}>, n_bytes array<long>, sizes array<int>, pieces array<string>, places binary, counts binary"
+    schema = (
+        f"block long, slice int, pieces array<string>, ids array<{kind}>, n_bytes array<long>, sizes array<int>,"
+        " slices binary, places binary, counts binary"
+    )
     id_type = slim.select("id").limit(0).toArrow().schema.field("id").type
     arrow = pa.schema(
         [
             ("block", pa.int64()),
+            ("slice", pa.int32()),
+            ("pieces", pa.list_(pa.string())),
             ("ids", pa.list_(id_type)),
             ("n_bytes", pa.list_(pa.int64())),
             ("sizes", pa.list_(pa.int32())),
-            ("pieces", pa.list_(pa.string())),
+            ("slices", pa.binary()),
             ("places", pa.binary()),
             ("counts", pa.binary()),
         ]
     )
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, size, block = TaskContext.get().partitionId() << 32, 0, _Block()
@@ -82,21 +105,56 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, cut: Callable[[bytes], l
             for name, value in zip(batch.column(0), batch.column(1)):
                 text = value.as_py()
                 if size and size + len(text) > BLOCK_BYTES:
-                    yield block.row(number, arrow)
+                    yield block.rows(number, SLICES * buckets, arrow)
                     number, size, block = number + 1, 0, _Block()
                 block.add(name, text, cut(text), in_order)
                 size += len(text) + 1
         if size:
-            yield block.row(number, arrow)
+            yield block.rows(number, SLICES * buckets, arrow)
 
     path = new_path(spark, "blocks")
     table = path.rpartition("/")[2].replace("-", "_")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = slim.mapInArrow(made, schema).write.bucketBy(buckets, "block")
     writer.option("path", path).option("compression", "zstd").saveAsTable(table)
     return spark.table(table)
 
 
-def pieces_of(table: DataFrame) -> DataFrame:
-    """``(in_block, place, piece)`` of every dictionary."""
-    return table.select(F.col("block").alias("in_block"), F.posexplode("pieces").alias("place", "piece"))
+def looked_up(table: DataFrame, find: Callable[[list[str]], dict[str, pa.Array]], schema: str) -> DataFrame:
+    """``find`` applied once to every distinct piece; ``(in_block, slice)`` with a packed column for each result.
+
+    ``find`` returns columns of whole numbers, one for each piece; a column of lists comes back as two, sizes and
+    values. A slice of all blocks, by the hash of the pieces, is what meets in one group.
+    """
+
+    def found(group: pa.Table) -> pa.Table:
+        texts = group["pieces"].combine_chunks()
+        coded = texts.flatten().dictionary_encode()
+        results = find(coded.dictionary.to_pylist())
+        ends = np.cumsum(np.diff(texts.offsets.to_numpy()))
+        columns = {"in_block": group["block"], "slice": group["slice"]}
+        for name, values in results.items():
+            whole = values.take(coded.indices)
+            parts = [whole.slice(a, b - a) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+            if pa.types.is_list(values.type):
+                sizes = [packed([np.diff(part.offsets.to_numpy())]) for part in parts]
+                columns[f"{name}_sizes"] = pa.array(sizes, pa.binary())
+                parts = [part.flatten() for part in parts]
+            columns[name] = pa.array([packed([part.to_numpy()]) for part in parts], pa.binary())
+        return pa.table(columns)
+
+    pieces = table.where("slice >= 0").select("block", "slice", "pieces")
+    return pieces.groupBy("slice").applyInArrow(found, f"in_block long, slice int, {schema}")
+
+
+def by_place(group: pa.Table, name: str) -> np.ndarray:
+    """A packed result column of one block, slice after slice."""
+    order = np.argsort(group["slice"].to_numpy(), kind="stable").tolist()
+    return np.concatenate([np.zeros(0, np.uint32), *[unpacked(group[name][place].as_py()) for place in order]])
+
+
+def ranks(slices: bytes) -> np.ndarray:
+    """Where the pieces of a block, as they are numbered, stand when slices follow one another."""
+    order = np.argsort(unpacked(slices), kind="stable")
+    places = np.zeros(len(order), np.int64)
+    places[order] = np.arange(len(order))
+    return places

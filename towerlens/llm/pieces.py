@@ -6,14 +6,15 @@ columns are read.
 """
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from towerlens.llm.blocks import blocks, pieces_of, unpacked
+from towerlens.llm.blocks import blocks, by_place, looked_up, ranks, unpacked
 
 MARK = "▁"
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
@@ -37,54 +38,55 @@ def check_model(path: str) -> None:
         raise ValueError("the model's pieces aren't bounded by white space marks")
 
 
-def _segmented(path: str):
-    """Chunks to ids and, where the decoded chunk is another text, that text."""
+def _segmenter(path: str) -> Callable[[list[str]], dict[str, pa.Array]]:
+    """Chunks to ids and to the code points of the text they decode to, where it is another.
 
-    def segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from sentencepiece import SentencePieceProcessor
+    A task loads the model once.
+    """
+    loaded = []
+
+    def segmented(pieces: list[str]) -> dict[str, pa.Array]:
+        if not loaded:
+            from sentencepiece import SentencePieceProcessor
 
-        model = SentencePieceProcessor(model_file=path)
+            loaded.append(SentencePieceProcessor(model_file=path))
+        model = loaded[0]
         alone = [model.piece_to_id(MARK)]
-        for batch in batches:
-            # The library puts the first mark back itself, but not before an empty text.
-            rests = [chunk[1:] for chunk in batch.column(0).to_pylist()]
-            ids = [found or alone for found in model.encode(rests, num_threads=1)]
-            texts = model.decode(ids, num_threads=1)
-            other = [None if text == rest.replace(MARK, " ") else text for text, rest in zip(texts, rests)]
-            packed_ids = pa.array([np.array(one, "<i4").tobytes() for one in ids], pa.binary())
-            columns = [batch.column(0), packed_ids, pa.array(other, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["piece", "ids", "decoded"])
+        # The library puts the first mark back itself, but not before an empty text.
+        rests = [chunk[1:] for chunk in pieces]
+        ids = [found or alone for found in model.encode(rests, num_threads=1)]
+        texts = model.decode(ids, num_threads=1)
+        other = [[] if text == rest.replace(MARK, " ") else [1, *map(ord, text)] for text, rest in zip(texts, rests)]
+        kind = pa.list_(pa.uint32())
+        return {"ids": pa.array(ids, kind), "other": pa.array(other, kind)}
 
     return segmented
 
 
 def _joined(left: pa.Table, right: pa.Table) -> pa.Table:
     """The documents of one block with their ids and decoded texts."""
-    row = left.to_pylist()[0]
-    data = right["ids"].combine_chunks()
-    order = right["place"].to_numpy()
-    sizes, decoded = np.zeros(len(order), np.int64), [" " + piece[1:].replace(MARK, " ") for piece in row["pieces"]]
-    values = np.frombuffer(b"".join(data.to_pylist()), "<i4")
-    lengths = np.fromiter(map(len, data.to_pylist()), np.int64, len(order)) // 4
-    firsts = np.zeros(len(order), np.int64)
-    sizes[order], firsts[order] = lengths, np.cumsum(lengths) - lengths
-    for place, text in zip(order, right["decoded"].to_pylist()):
-        if text is not None:
-            decoded[place] = " " + text
-    places, at, found, texts = unpacked(row["places"]), 0, [], []
+    slices = sorted(zip(left["slice"].to_pylist(), left["pieces"].to_pylist()))
+    row = left.filter(pc.less(left["slice"], 0)).to_pylist()[0]
+    decoded = [" " + piece[1:].replace(MARK, " ") for number, pieces in slices if number >= 0 for piece in pieces]
+    values, lengths = by_place(right, "ids"), by_place(right, "ids_sizes").astype(np.int64)
+    others, widths = by_place(right, "other"), by_place(right, "other_sizes").astype(np.int64)
+    for place, end in zip(np.flatnonzero(widths), np.cumsum(widths)[widths > 0]):
+        decoded[place] = " " + "".join(map(chr, others[end - widths[place] + 1 : end].tolist()))
+    firsts = np.cumsum(lengths) - lengths
+    places, at, found, texts = ranks(row["slices"])[unpacked(row["places"])], 0, [], []
     for size in row["sizes"]:
         here = places[at : at + size]
         at += size
-        n = sizes[here]
+        n = lengths[here]
         ends = np.cumsum(n)
         inside = np.arange(ends[-1] if size else 0) + np.repeat(firsts[here] - ends + n, n)
-        found.append(values[inside])
+        found.append(values[inside].astype(np.int32))
         texts.append("".join([decoded[place] for place in here.tolist()])[1:])
     flat = pa.array(np.concatenate([np.zeros(0, np.int32), *found]), pa.int32())
     offsets = pa.array(np.concatenate([[0], np.cumsum([len(one) for one in found])]).astype(np.int32), pa.int32())
-    ids = pa.ListArray.from_arrays(offsets, flat)
     id_type = left.schema.field("ids").type.value_type
-    return pa.table([pa.array(row["ids"], id_type), ids, pa.array(texts, pa.string())], ["id", "ids", "decoded"])
+    columns = [pa.array(row["ids"], id_type), pa.ListArray.from_arrays(offsets, flat), pa.array(texts, pa.string())]
+    return pa.table(columns, ["id", "ids", "decoded"])
 
 
 def encoded(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -97,12 +99,12 @@ def encoded(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     """
     check_model(model)
     table = blocks(docs, id_col, text_col, chunks, in_order=True)
-    pieces = pieces_of(table)
-    distinct = pieces.select("piece").distinct().mapInArrow(_segmented(model), "piece string, ids binary, decoded string")
-    known = pieces.join(distinct, "piece").select("in_block", "place", "ids", "decoded")
+    schema = "ids_sizes binary, ids binary, other_sizes binary, other binary"
+    known = looked_up(table, _segmenter(model), schema)
     kind = dict(docs.select(id_col).dtypes)[id_col]
-    left = table.select("block", "ids", "sizes", "pieces", "places").groupBy("block")
-    rows = left.cogroup(known.groupBy("in_block")).applyInArrow(_joined, f"id {kind}, ids array<int>, decoded string")
+    left = table.select("block", "slice", "pieces", "ids", "sizes", "slices", "places")
+    rows = left.groupBy("block").cogroup(known.groupBy("in_block"))
+    rows = rows.applyInArrow(_joined, f"id {kind}, ids array<int>, decoded string")
     return rows.withColumnRenamed("id", id_col)
 
 

@@ -5,30 +5,30 @@ id; an empty table gives no rows. Only the id and text columns are read.
 """
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from towerlens.llm.blocks import blocks, pieces_of, unpacked
+from towerlens.llm.blocks import blocks, by_place, looked_up, ranks, unpacked
 
 
-def _counted(path: str):
-    """Pieces to numbers of tokens, by the tokenizer in ``path``."""
+def _counter(path: str) -> Callable[[list[str]], dict[str, pa.Array]]:
+    """Pieces to numbers of tokens, by the tokenizer in ``path``, which a task loads once."""
+    loaded = []
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    def counted(pieces: list[str]) -> dict[str, pa.Array]:
+        if not loaded:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        for batch in batches:
-            found = tokenizer.encode_batch_fast(batch.column(0).to_pylist(), add_special_tokens=False)
-            counts = pa.array([len(one.ids) for one in found], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), counts], ["piece", "n_tokens"])
+            loaded.append(Tokenizer.from_file(path))
+            loaded[0].no_truncation()
+            loaded[0].no_padding()
+        found = loaded[0].encode_batch_fast(pieces, add_special_tokens=False)
+        return {"n_tokens": pa.array([len(one.ids) for one in found], pa.uint32())}
 
     return counted
 
@@ -41,27 +41,21 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     joined to the dictionaries of the blocks, and a document's count is the sum over its piece frequencies.
     """
     table = blocks(docs, id_col, text_col, bytes.split, in_order=False)
-    pieces = pieces_of(table)
-    distinct = pieces.select("piece").distinct().mapInArrow(_counted(tokenizer), "piece string, n_tokens long")
-    numbers = pieces.join(distinct, "piece").select("in_block", "place", "n_tokens")
+    numbers = looked_up(table, _counter(tokenizer), "n_tokens binary")
     kind = dict(docs.select(id_col).dtypes)[id_col]
 
     def summed(left: pa.Table, right: pa.Table) -> pa.Table:
-        tokens = np.zeros(right.num_rows, np.int64)
-        tokens[right["place"].to_numpy()] = right["n_tokens"].to_numpy()
-        ids, n_bytes, sums = [], [], []
-        for row in left.to_pylist():
-            per_piece = tokens[unpacked(row["places"])] * unpacked(row["counts"])
-            before = np.concatenate([[0], np.cumsum(per_piece)])
-            ends = np.cumsum(row["sizes"], dtype=np.int64)
-            sums.append(before[ends] - before[ends - row["sizes"]])
-            ids += row["ids"]
-            n_bytes += row["n_bytes"]
-        columns = [pa.array(ids, left.schema.field("ids").type.value_type), n_bytes, np.concatenate([np.zeros(0, int), *sums])]
-        return pa.table(columns, ["id", "n_bytes", "n_tokens"])
-
-    left = table.select("block", "ids", "n_bytes", "sizes", "places", "counts").groupBy("block")
-    rows = left.cogroup(numbers.groupBy("in_block")).applyInArrow(summed, f"id {kind}, n_bytes long, n_tokens long")
+        row = left.to_pylist()[0]
+        tokens = by_place(right, "n_tokens")[ranks(row["slices"])].astype(np.int64)
+        per_piece = tokens[unpacked(row["places"])] * unpacked(row["counts"])
+        before = np.concatenate([[0], np.cumsum(per_piece)])
+        ends = np.cumsum(row["sizes"], dtype=np.int64)
+        ids = pa.array(row["ids"], left.schema.field("ids").type.value_type)
+        return pa.table([ids, row["n_bytes"], before[ends] - before[ends - row["sizes"]]], ["id", "n_bytes", "n_tokens"])
+
+    left = table.where("slice < 0").select("block", "ids", "n_bytes", "sizes", "slices", "places", "counts")
+    rows = left.groupBy("block").cogroup(numbers.groupBy("in_block"))
+    rows = rows.applyInArrow(summed, f"id {kind}, n_bytes long, n_tokens long")
     return rows.withColumnRenamed("id", id_col)
 
 
