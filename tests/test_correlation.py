@@ -49,3 +49,20 @@ def test_against_pandas(spark, narrow, partitions):
 def test_no_rows(spark, narrow):
     df = spark.createDataFrame([], "a double, b double").repartition(2)
     assert set(matrix(df, ["a", "b"], narrow).values()) == {None}
+
+
+@pytest.mark.parametrize("narrow", [0, 99])
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_infinities_spoil_their_pairs_only(spark, narrow, partitions):
+    rng = np.random.default_rng(9)
+    frame = pd.DataFrame(rng.normal(size=(500, 4)), columns=list("abcd"))
+    frame.loc[7, "b"], frame.loc[200, "c"] = np.inf, -np.inf
+    frame.loc[7, "d"] = np.nan
+    got = matrix(spark.createDataFrame(frame).repartition(partitions), list("abcd"), narrow)
+    for x in "abcd":
+        for y in "abcd":
+            known = frame[[x, y]].dropna().to_numpy()
+            if np.isinf(known).any():
+                assert got[x, y] is None, (x, y)
+            else:
+                assert got[x, y] == pytest.approx(np.corrcoef(known[:, 0], known[:, 1])[0, 1], abs=1e-9)

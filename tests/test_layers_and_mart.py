@@ -78,8 +78,8 @@ def features(spark):
 
 
 def summary_of(features):
-    order = [short_date(F.col("SNAP_DATE"))]
-    return mart.subject_summary(features, "SK_ID", "REVENUE", "PHONE_GEN", order)
+    day = short_date(F.col("SNAP_DATE"))
+    return mart.subject_summary(features, "SK_ID", "REVENUE", "PHONE_GEN", fixed.LAYERS, day)
 
 
 def test_summary(features, rows):
@@ -118,7 +118,7 @@ def test_mean_by_code(spark, rows):
     plain = features.join(usage, "s").where("code is not null").groupBy("code").agg(F.avg("mb"))
     assert rows(means.select("code", "MEAN")) == rows(plain)
     assert rows(labels.label_codes_by_metric(means, "code", fixed.LAYERS).select("code", "LABEL")) == [
-        (1, "2G"), (2, "3G")
+        (1, "2G"), (2, "3G"), (3, None)
     ]
     per_subject = labels.mean_per_subject_by_code(features, usage, "s", "code", "mb")
     assert rows(per_subject) == [(1, 6.0, 1), (2, 9.0, 1), (3, 0.0, 1)]
@@ -128,3 +128,24 @@ def test_labels(spark, rows):
     df = spark.createDataFrame([(1,), (2,), (3,), (4,), (None,)], "code int")
     labelled = labels.with_label(df, "code", fixed.DEVICE_LAYER, "PHONE_GEN")
     assert rows(labelled) == [(1, "3G"), (2, "4G"), (3, "2G"), (4, None), (None, None)]
+
+
+def test_more_codes_than_labels(spark, rows):
+    data = [(1, 5.0), (2, 1.0), (3, 3.0), (4, 9.0), (5, None), (None, 2.0)]
+    means = spark.createDataFrame(data, "code int, MEAN double")
+    labelled = labels.label_codes_by_metric(means, "code", fixed.LAYERS).select("code", "LABEL")
+    assert dict(rows(labelled)) == {2: "2G", None: "3G", 3: "4G", 1: None, 4: None, 5: None}
+    applied = labels.with_derived_label(means.select("code"), labelled, "code", "GEN")
+    assert dict(rows(applied)) == {2: "2G", None: None, 3: "4G", 1: None, 4: None, 5: None}
+
+
+def test_last_label_of_a_day(spark, rows):
+    data = [(1, "01.02.02", "2G", 5), (1, "01.02.02", "4G", 3), (2, "01.02.02", "3G", 1), (2, "01.02.02", "2G", 1), (3, None, "2G", 1)]
+    df = spark.createDataFrame(data, "s long, d string, label string, n long")
+    day = short_date(F.col("d"))
+    by_tie = mart.subject_summary(df, "s", "n", "label", fixed.LAYERS, day, F.col("n"))
+    assert rows(by_tie.select("s", "label")) == [(1, "2G"), (2, "3G"), (3, None)]
+    by_label = mart.subject_summary(df, "s", "n", "label", fixed.LAYERS, day)
+    assert rows(by_label.select("s", "label")) == [(1, "4G"), (2, "3G"), (3, None)]
+    plan = by_tie._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

@@ -77,3 +77,25 @@ def test_null_patterns(df):
 
 def test_presence_flags(df, rows):
     assert rows(p.presence_flags(df, ["v"], ["w"]).where("v = 5.0")) == [(5.0, 1)]
+
+
+@pytest.mark.parametrize("approximate", [False, True])
+def test_an_empty_table_has_no_values(df, approximate):
+    columns = df.columns[:2]
+    profile = p.cardinality_profile(df.limit(0), columns, approximate)
+    assert {tuple(r) for r in profile.collect()} == {(c, 0) for c in columns}
+    assert set(columns).isdisjoint(p.prune_low_cardinality(df.limit(0), columns, min_distinct=1).columns)
+
+
+def test_profiles_of_groups_equal_those_of_their_rows(spark):
+    data = [("x", 1, 1.0, None), ("x", 1, 2.0, None), ("y", None, 3.0, "t"), ("y", 2, 3.0, "u"), ("z", 9, 9.0, "v"), (None, 1, 1.0, "w")]
+    df = spark.createDataFrame(data, "g string, a int, b double, c string")
+    own = {"x": ["a", "c"], "y": ["a", "b", "c"], "empty": ["b"]}
+    missing = {(r.g, r.METRIC): r.SHARE for r in p.group_missing_profile(df, "g", own).collect()}
+    values = {(r.g, r.METRIC): r.N_DISTINCT for r in p.group_cardinality_profile(df, "g", own).collect()}
+    assert set(missing) == set(values) == {(g, c) for g, columns in own.items() for c in columns}
+    for group in ("x", "y"):
+        rows = df.where(df.g == group)
+        assert {c: missing[group, c] for c in own[group]} == {r.METRIC: r.SHARE for r in p.missing_profile(rows, own[group]).collect()}
+        assert {c: values[group, c] for c in own[group]} == {r.METRIC: r.N_DISTINCT for r in p.cardinality_profile(rows, own[group]).collect()}
+    assert missing["empty", "b"] is None and values["empty", "b"] == 0

@@ -8,10 +8,12 @@ import pytest
 import __spark_entry__ as contract
 from towerlens.operators.usage import metric_history
 from towerlens.plans import analyses
+from towerlens.plans.oracles import ORACLES
+from towerlens.plans.queries import QUERIES
 from towerlens.sources import standins
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-WITHOUT_SQL = {"kpi_components", "cell_clusters", "outcome_scores", "outcome_auc", "csv_preview"}
+WITHOUT_SQL = {"kpi_components", "cell_clusters", "outcome_scores", "outcome_auc"}
 
 
 @pytest.fixture(scope="module")
@@ -22,29 +24,30 @@ def database():
 
 
 def test_every_query_has_sql_or_a_test_of_its_own():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == WITHOUT_SQL
-    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
+    assert set(ORACLES) <= set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, database, name):
-    df = contract.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     plan = plan_of(df)
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert "Python" not in plan and ("InArrow" in plan) == name.startswith("correlation")
     got = compare.rows_of(df)
-    wanted = compare.expected(database, contract.oracle_sql()[name])
+    wanted = compare.expected(database, ORACLES[name])
     assert sorted(got.columns) == sorted(wanted.columns)
     assert compare.canonical(got) == compare.canonical(wanted)
 
 
 @pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
 def test_query_without_sql_runs(spark, name):
-    assert contract.queries()[name](spark, SF_DIR).count() > 0
+    assert QUERIES[name](spark, SF_DIR).count() > 0
 
 
 def test_entry(spark):
@@ -76,3 +79,23 @@ def test_one_cell(spark):
     history = metric_history(kpi, "CELL_LAC_ID", "T_DATE", "DL_VOLUME_LTE", only=5)
     dates = [row.DATE for row in history.collect() if row.DATE]
     assert len(dates) > 100 and dates == sorted(dates)
+
+
+@pytest.mark.parametrize(
+    ("name", "table", "scans"),
+    [
+        ("missing_share", "lineitem", 1),
+        ("channel_missing_share", "lineitem", 1),
+        ("conflict_rows", "lineitem", 1),
+        ("rank_disagreement", "lineitem", 1),
+        ("cell_presence", "events", 0),
+    ],
+)
+def test_tables_are_scanned_once(spark, name, table, scans):
+    """What is looked up or counted twice was written before."""
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count(f"{table}.parquet") == scans
+
+
+def test_no_sort_for_the_last_known_value(spark):
+    assert "SortAggregate" not in plan_of(QUERIES["subject_summary"](spark, SF_DIR))

@@ -66,3 +66,18 @@ def test_outcome_scores(spark):
     others = learn.outcome_scores(df, "k", "y", ["a", "b"], to_score=new)
     assert others.columns == ["k", "SCORE"] and others.count() == 5
     assert others.where("SCORE between 0 and 1").count() == 5
+
+
+def test_numbered(spark):
+    df = spark.range(1000, numPartitions=7).orderBy("id")
+    assert [(x.id, x.PLACE) for x in r.numbered(df).orderBy("PLACE").collect()] == [(i, i + 1) for i in range(1000)]
+    assert r.numbered(df.limit(0)).count() == 0
+
+
+def test_columns_without_values_are_left_out(spark):
+    data = [(i, i % 2, float(i % 2) + i / 1000, None) for i in range(100)]
+    df = spark.createDataFrame(data, "k int, y int, a double, b double")
+    assert learn.known_columns(df, ["a", "b"]) == ["a"]
+    assert learn.principal_components(df, ["k"], ["a", "b"], 1).count() == 100
+    assert {x.CLUSTER for x in learn.similar_keys(df, "k", ["a", "b"], 2).collect()} == {0, 1}
+    assert learn.outcome_scores(df, "k", "y", ["a", "b"]).count() == 100

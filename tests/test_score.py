@@ -51,11 +51,11 @@ def test_scoring_split(spark):
 
 
 def test_scores_are_written_in_the_wanted_order(spark, tmp_path):
-    wanted = spark.createDataFrame([(7, 1), (3, 2), (5, 3)], "k long, place int").repartition(3)
+    wanted = spark.createDataFrame([(7, 1), (11, 2), (3, 3), (5, 4)], "k long, place int").repartition(3)
     scores = spark.createDataFrame([(3, 0.25), (5, 0.5), (7, 0.75), (9, 0.1)], "k long, score double")
     ordered = s.scores_in_order(wanted, scores, "k", "place", "score")
-    assert [r.k for r in ordered.collect()] == [7, 3, 5]
+    assert [r.k for r in ordered.collect()] == [7, 11, 3, 5]
     path = str(tmp_path / "scores")
     write_scores(ordered, "score", path)
-    parts = sorted(name for name in os.listdir(path) if name.endswith(".csv"))
-    assert "".join(open(f"{path}/{p}").read() for p in parts).split() == ["0.75", "0.25", "0.5"]
+    parts = sorted(name for name in os.listdir(path) if name.endswith(".txt"))
+    assert "".join(open(f"{path}/{p}").read() for p in parts).split("\n") == ["0.75", "", "0.25", "0.5", ""]

@@ -35,6 +35,20 @@ def comma_long(column: Column) -> Column:
     return F.coalesce(F.trim(column).try_cast("bigint"), whole)
 
 
+def range_number(value: Column, cuts: Sequence) -> Column:
+    """How many of the ascending ``cuts`` lie below ``value``, found in two steps of about their root."""
+    cuts = list(cuts)
+    if not cuts:
+        return F.lit(0)
+    step = max(1, round(len(cuts) ** 0.5))
+
+    def below(found: Column) -> Column:
+        return F.size(F.filter(found, lambda cut: cut < value))
+
+    coarse = F.greatest(below(F.array(*map(F.lit, cuts[::step]))) - 1, F.lit(0)) * step
+    return coarse + below(F.slice(F.array(*map(F.lit, cuts)), coarse + 1, step))
+
+
 def comma_text(column: Column) -> Column:
     """Number written with a decimal comma."""
     return F.translate(column.cast("string"), ".", ",")

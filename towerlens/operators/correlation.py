@@ -18,7 +18,7 @@ SUSPECT = 1e-9
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], narrow: int = NARROW) -> DataFrame:
-    """Every ordered pair (X, Y) with CORR, null where either column does not vary."""
+    """Every ordered pair (X, Y) with CORR, null where either column does not vary or holds an infinity."""
     columns = list(columns)
     rows = df.select(*[without_nan(F.col(c).cast("double")).alias(c) for c in columns])
     pairs = _built_in(rows, columns) if len(columns) <= narrow else _by_matrix(rows, columns)
@@ -33,7 +33,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], narrow: int = NARR
 
 def _bounded(correlation: Column) -> Column:
     within = F.greatest(F.least(correlation, F.lit(1.0)), F.lit(-1.0))
-    return F.when(correlation.isNotNull(), within)  # least and greatest skip nulls
+    # least and greatest skip nulls and rank NaN, which an infinite value leaves, above all numbers
+    return F.when(correlation.isNotNull() & ~F.isnan(correlation), within)
 
 
 def _built_in(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -127,14 +128,17 @@ def _pair_moments(width: int):
         n, s, q, p = np.zeros((4, width, width))
         low, high = np.full((2, width, width), np.inf)
         high = -high
-        offset = np.full(width, np.nan)
+        offset, spoiled = np.full(width, np.nan), np.zeros((width, width), bool)
         for batch in batches:
             x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-            known = ~np.isnan(x)
-            # The first known value of a column is its offset in this task.
-            for i in np.nonzero(np.isnan(offset) & known.any(axis=0))[0]:
-                offset[i] = x[known[:, i].argmax(), i]
-            filled, present = np.where(known, x - offset, 0.0), known.astype(float)
+            known, finite = ~np.isnan(x), np.isfinite(x)
+            # The first finite value of a column is its offset in this task.
+            for i in np.nonzero(np.isnan(offset) & finite.any(axis=0))[0]:
+                offset[i] = x[finite[:, i].argmax(), i]
+            filled, present = np.where(finite, x - offset, 0.0), known.astype(float)
+            # An infinity spoils its pairs with the columns known in that row, and no others.
+            unbounded = (known & ~finite).astype(float)
+            spoiled |= (unbounded.T @ present + present.T @ unbounded) > 0
             batch_n = present.T @ present
             batch_s = filled.T @ present  # [i, j]: sum of column i where column j is known
             batch_q = (filled * filled).T @ present
@@ -143,7 +147,7 @@ def _pair_moments(width: int):
             low, high = np.minimum(low, batch_low), np.maximum(high, batch_high)
         mean = np.divide(s, n, out=np.zeros_like(s), where=n > 0)
         offset = np.nan_to_num(offset)
-        spread, together = q - s * mean, p - s * mean.T
+        spread, together = q - s * mean, np.where(spoiled, np.nan, p - s * mean.T)
         i, j = np.triu_indices(width)
         values = [
             n[i, j], mean[i, j] + offset[i], mean[j, i] + offset[j],

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from towerlens.functions.columns import first_largest, largest
-from towerlens.operators.lookups import lookup_join
+from towerlens.operators.lookups import BROADCAST_BYTES, lookup_join
 
 Groups = Mapping[str, Sequence[str]]
 
@@ -48,6 +48,14 @@ def coverage_conflicts(
     return scores.where(conflict | (F.col("N_GROUPS") == 0) if include_uncovered else conflict)
 
 
+def conflict_counts(df: DataFrame, key: str, groups: Groups) -> DataFrame:
+    """The non-null counts of keys covered by two or more groups, from one aggregate."""
+    covered = [
+        (largest([F.col(column) for column in columns]) > 0).cast("int") for columns in groups.values()
+    ]
+    return coverage_counts(df, key, groups).where(sum(covered, F.lit(0)) >= 2)
+
+
 def covered_keys(scores: DataFrame, key: str, label: str) -> DataFrame:
     """Keys with any coverage in a group."""
     return scores.where(F.col(label) > 0).select(key)
@@ -74,9 +82,10 @@ def split_by_group(
     groups: Groups,
     id_columns: Sequence[str],
     label: str = "GEN",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> dict[str, DataFrame]:
     """Per group, the rows of its keys with the id columns and that group's columns only."""
-    placed = lookup_join(df, assignment.select(key, label), [key], "inner")
+    placed = lookup_join(df, assignment.select(key, label), [key], "inner", broadcast_bytes)
     return {
         name: placed.where(F.col(label) == name).select(*id_columns, *columns)
         for name, columns in groups.items()

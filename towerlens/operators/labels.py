@@ -51,12 +51,24 @@ def mean_per_subject_by_code(
 
 
 def label_codes_by_metric(means: DataFrame, code: str, labels: Sequence[str]) -> DataFrame:
-    """Codes in ascending order of their mean get the labels in the given order."""
+    """All codes; in ascending order of their mean they get the labels in the given order.
+
+    Codes beyond the labels and codes without a mean have none.
+    """
     lowest = means.where(F.col("MEAN").isNotNull()).orderBy("MEAN", code).limit(len(labels))
-    # Not more rows than labels reach this window.
+    # Not more rows than labels reach this window, and the broadcast.
     place = F.row_number().over(Window.orderBy("MEAN", code))
     names = F.array(*[F.lit(label) for label in labels])
-    return lowest.withColumn("LABEL", F.get(names, place - 1))
+    labelled = lowest.select(F.col(code).alias("labelled_code"), F.get(names, place - 1).alias("LABEL"))
+    same = F.col(code).eqNullSafe(F.col("labelled_code"))
+    return means.join(F.broadcast(labelled), same, "left").drop("labelled_code")
+
+
+def with_derived_label(df: DataFrame, labelled: DataFrame, code: str, label: str) -> DataFrame:
+    """Adds the label that ``label_codes_by_metric`` found for each row's code, null for codes without one."""
+    known = labelled.where(F.col("LABEL").isNotNull()).select(F.col(code).alias("labelled_code"), F.col("LABEL").alias(label))
+    # One row per label.
+    return df.join(F.broadcast(known), F.col(code) == F.col("labelled_code"), "left").drop("labelled_code")
 
 
 def with_label(df: DataFrame, code: str, labels: Mapping, label: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from towerlens import fixed
 from towerlens.functions.columns import day_of
-from towerlens.operators.lookups import lookup_join
+from towerlens.operators.lookups import BROADCAST_BYTES, lookup_join
 
 
 def traffic_by_layer(
@@ -19,6 +19,7 @@ def traffic_by_layer(
     volume: str = "DATA_VOL_MB",
     layers: Sequence[str] = fixed.LAYERS,
     volume_name: str = "DATA_VOL",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Per subject and layer: summed volume, distinct days, distinct start times.
 
@@ -28,7 +29,7 @@ def traffic_by_layer(
     """
     rows = sessions.select(subject, cell, start, volume).where(F.col(subject).isNotNull())
     known = assignment.where(F.col("GEN").isin(list(layers))).select(cell, "GEN")
-    placed = lookup_join(rows, known, [cell], "inner")
+    placed = lookup_join(rows, known, [cell], "inner", broadcast_bytes)
     by_start = placed.groupBy(subject, "GEN", start).agg(F.sum(volume).alias("volume"))
     by_day = by_start.groupBy(subject, "GEN", day_of(F.col(start)).alias("day")).agg(
         F.sum("volume").alias("volume"), F.count(start).alias("starts")

@@ -54,7 +54,7 @@ def prune_missing(
 def cardinality_profile(
     df: DataFrame, columns: Sequence[str], approximate: bool = False
 ) -> DataFrame:
-    """Distinct non-null values per column, smallest first.
+    """Distinct non-null values per column, smallest first; 0 for every column of an empty table.
 
     The exact count goes over pairs of column number and value. Several distinct counts in one
     aggregate would instead shuffle whole rows once per column.
@@ -64,23 +64,54 @@ def cardinality_profile(
         counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns])
         profile = counts.unpivot([], columns, "METRIC", "N_DISTINCT")
     else:
-        by_type: dict[str, list[str]] = {}
-        for name, dtype in df.select(*columns).dtypes:
-            by_type.setdefault(dtype, []).append(name)
-        profile = None
-        for names in by_type.values():
-            part = (
-                df.select(F.posexplode(F.array(*names)).alias("place", "value"))
-                .groupBy("place", "value")
-                .agg(F.lit(1).alias("once"))
-                .groupBy("place")
-                .agg(F.count("value").alias("N_DISTINCT"))
-                .select(F.get(F.array(*map(F.lit, names)), "place").alias("METRIC"), "N_DISTINCT")
-            )
-            profile = part if profile is None else profile.unionByName(part)
+        group = df.select(F.lit(0).alias("group"), *columns)
+        profile = group_cardinality_profile(group, "group", {0: columns}).drop("group")
     return profile.orderBy("N_DISTINCT", "METRIC")
 
 
+def _every_metric(df: DataFrame, group: str, columns: Mapping) -> DataFrame:
+    """One row per group and column."""
+    named = [(label, name) for label, names in columns.items() for name in names]
+    return df.sparkSession.createDataFrame(named, f"{group} {dict(df.dtypes)[group]}, METRIC string")
+
+
+def group_missing_profile(df: DataFrame, group: str, columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Share of missing values of each group's own columns, from one pass; null for a group without rows."""
+    every = list(dict.fromkeys(name for names in columns.values() for name in names))
+    shares = df.groupBy(group).agg(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in every])
+    shares = shares.unpivot([group], every, "METRIC", "SHARE")
+    return _every_metric(df, group, columns).join(F.broadcast(shares), [group, "METRIC"], "left")
+
+
+def group_cardinality_profile(df: DataFrame, group: str, columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Distinct non-null values of each group's own columns, from one pass; 0 for a group without rows.
+
+    Each row yields (group, column number, value) for its group's columns only. Values of unlike types go
+    through passes of their own.
+    """
+    types = dict(df.dtypes)
+    every = list(dict.fromkeys(name for names in columns.values() for name in names))
+    found = None
+    for dtype in dict.fromkeys(types[name] for name in every):
+        pairs = None
+        for label, names in columns.items():
+            own = [F.struct(F.lit(every.index(n)).alias("place"), F.col(n).alias("value")) for n in names if types[n] == dtype]
+            if own:
+                pairs = F.when(F.col(group) == label, F.array(*own)) if pairs is None else pairs.when(F.col(group) == label, F.array(*own))
+        part = (
+            df.select(group, F.explode(pairs).alias("pair"))
+            .select(group, "pair.place", "pair.value")
+            .groupBy(group, "place", "value")
+            .agg(F.lit(1).alias("once"))
+            .groupBy(group, "place")
+            .agg(F.count("value").alias("N_DISTINCT"))
+            .select(group, F.get(F.array(*map(F.lit, every)), "place").alias("METRIC"), "N_DISTINCT")
+        )
+        found = part if found is None else found.unionByName(part)
+    known = _every_metric(df, group, columns).join(F.broadcast(found), [group, "METRIC"], "left")
+    return known.select(group, "METRIC", F.coalesce("N_DISTINCT", F.lit(0)).cast("bigint").alias("N_DISTINCT"))
+
+
 def prune_low_cardinality(
     df: DataFrame,
     columns: Sequence[str],

@@ -2,9 +2,11 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from towerlens.sources.workspace import written
+
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
     """The first rows in a stated order."""
@@ -18,6 +20,22 @@ def random_rows(df: DataFrame, key: Sequence[str], n: int, seed: int = 0) -> Dat
     return df.orderBy(ticket, *key).limit(n)
 
 
+def numbered(df: DataFrame, place: str = "PLACE") -> DataFrame:
+    """Adds the place of every row, from 1, in the order the table has.
+
+    The rows are written with their place in their task; the tasks' sizes, one row each, give the rest.
+    """
+    task = F.shiftright(F.monotonically_increasing_id(), 33)
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = written(df.withColumn("_task", task).withColumn("_inside", inside), "numbered")
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("_task").agg(F.count("*").alias("_size"))
+    offsets = sizes.select("_task", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    return rows.join(F.broadcast(offsets), "_task").select(
+        *df.columns, (F.col("_before") + F.col("_inside") + 1).alias(place)
+    )
+
+
 def sorted_by_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Sorted by many columns, missing values last.
 

@@ -6,19 +6,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from towerlens import fixed
-from towerlens.functions.columns import percent_slot
+from towerlens.functions.columns import percent_slot, range_number
 from towerlens.sources.workspace import written
 
-BUCKETS = 256
+# Ranges of scores for each shuffle partition.
+RANGES = 4
 
 
 def roc_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """Area under the ROC curve, exact, ties counted half; per group if ``by`` names columns.
 
-    Equal scores are merged first. The merged scores are cut at approximate quantiles into a fixed
-    number of ranges: the running count of negatives is a sum over lower ranges plus a window within
-    each range, so no task has to hold all scores. The cuts only balance the work. The merged scores
-    are written once, as the cuts, the sums and the windows all read them.
+    Equal scores are merged first. The merged scores are cut at approximate quantiles into ranges, as
+    many as suit the shuffle partitions: the running count of negatives is a sum over lower ranges plus a
+    window within each range, so no task has to hold all scores. The cuts only balance the work. The
+    merged scores are written once, as the cuts, the sums and the windows all read them.
     """
     by = list(by)
     merged = (
@@ -31,16 +32,12 @@ def roc_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> Da
         )
     )
     merged = written(merged, "merged-scores")
-    shares = [place / BUCKETS for place in range(1, BUCKETS)]
-    cuts = merged.agg(F.percentile_approx("score", shares, 10_000)).scalar()
-    lower_cuts = F.filter("cuts", lambda cut: cut < F.col("score"))
-    ranged = (
-        merged.withColumn("cuts", cuts)
-        .withColumn("range", F.coalesce(F.array_size(lower_cuts), F.lit(0)))
-        .drop("cuts")
-    )
+    parts = RANGES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = [place / parts for place in range(1, parts)]
+    cuts = merged.agg(F.percentile_approx("score", shares, 10 * parts).alias("cuts")).first().cuts
+    ranged = merged.withColumn("range", range_number(F.col("score"), sorted(set(cuts or []))))
     ranges = ranged.groupBy(*by, "range").agg(F.sum("negative").alias("negative"))
-    # At most BUCKETS rows per group.
+    # One row per range and group.
     before = Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranges.select(
         *by, "range", F.coalesce(F.sum("negative").over(before), F.lit(0)).alias("offset")

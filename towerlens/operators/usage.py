@@ -2,12 +2,13 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from towerlens.functions.columns import date_of, day_of
 from towerlens.operators.lookups import lookup_join
 from towerlens.operators.rows import sorted_by_columns
+from towerlens.sources.workspace import written
 
 
 def top_cells(
@@ -30,26 +31,31 @@ def top_cells(
     return totals.withColumn("PLACE", rank).where(F.col("PLACE") <= k)
 
 
+def _place(subject: str, item: str, total: str) -> Column:
+    """Place of an item among its subject's by ``total``, null where it has none."""
+    order = Window.partitionBy(subject).orderBy(F.desc_nulls_last(total), item)
+    return F.when(F.col(total).isNotNull(), F.row_number().over(order))
+
+
 def rank_disagreement(
     df: DataFrame, subject: str, item: str, measures: tuple[str, str], k: int
 ) -> DataFrame:
-    """Per subject, how far its top items by one measure differ from those by another."""
-    one, other = (
-        top_cells(df, subject, item, measure, k).select(
-            subject,
-            item,
-            *[
-                F.col("PLACE").alias(name) if name == wanted else F.lit(None).cast("int").alias(name)
-                for name in ("first", "second")
-            ],
-        )
-        for measure, wanted in zip(measures, ("first", "second"))
-    )
-    places = (
-        one.union(other)
+    """Per subject, how far its top items by one measure differ from those by another.
+
+    Both rankings are over the same totals, which are one row per subject and item.
+    """
+    one, other = (F.sum(F.when(F.col(measure) > 0, F.col(measure))) for measure in measures)
+    totals = (
+        df.where(F.col(subject).isNotNull() & F.col(item).isNotNull())
         .groupBy(subject, item)
-        .agg(F.max("first").alias("first"), F.max("second").alias("second"))
+        .agg(one.alias("one"), other.alias("other"))
+    )
+    places = totals.select(
+        subject, *[_place(subject, item, total).alias(name) for total, name in (("one", "first"), ("other", "second"))]
     )
+    places = places.select(
+        subject, *[F.when(F.col(name) <= k, F.col(name)).alias(name) for name in ("first", "second")]
+    ).where("first IS NOT NULL OR second IS NOT NULL")
     gap = F.abs(F.col("first") - F.col("second"))
     return places.groupBy(subject).agg(
         F.count("first").alias("N_FIRST"),
@@ -63,11 +69,15 @@ def rank_disagreement(
 
 
 def cell_presence(sessions: DataFrame, subject: str, item: str, start: str) -> DataFrame:
-    """Days a subject was seen on each item, and their share in the subject's active days."""
-    days = (
+    """Days a subject was seen on each item, and their share in the subject's active days.
+
+    The distinct days are written once, as both counts read them.
+    """
+    days = written(
         sessions.dropna(subset=[subject, item, start])
         .select(subject, item, day_of(F.col(start)).alias("day"))
-        .distinct()
+        .distinct(),
+        "days",
     )
     per_item = days.groupBy(subject, item).agg(F.count("*").alias("N_DAYS"))
     active = (

@@ -3,6 +3,7 @@
 from itertools import combinations_with_replacement
 
 from towerlens import fixed
+from towerlens.plans.queries import INFINITE, MAX_SHARE, MIN_DISTINCT, OFF_GRID, PAIR
 from towerlens.sources.standins import kpi_select_list
 
 COUNTED = [c for columns in fixed.SCORED_BY_LAYER.values() for c in columns]
@@ -206,8 +207,8 @@ def table_profile() -> str:
 
 def filled(metric: str) -> str:
     return (
-        f"round(coalesce({metric}, avg({metric}) OVER (PARTITION BY CELL_LAC_ID, isodow(KPI_DATE) >= 6),"
-        f" avg({metric}) OVER (PARTITION BY CELL_LAC_ID)), 10) AS {metric}"
+        f"round({OFF_GRID} + coalesce({metric}, avg({metric}) OVER (PARTITION BY CELL_LAC_ID, isodow(KPI_DATE) >= 6),"
+        f" avg({metric}) OVER (PARTITION BY CELL_LAC_ID)), 6) AS {metric}"
     )
 
 
@@ -219,6 +220,52 @@ CHANNEL = """channel AS (SELECT l_suppkey AS CELL_LAC_ID,
 SMALL_CONFLICTS = f"""WITH {SMALL_TO_SCORES} SELECT CELL_LAC_ID, "2G", "3G", "4G",
   {N_GROUPS} AS N_GROUPS FROM scores WHERE {N_GROUPS}"""
 
+PLACED = "placed AS (SELECT kpi.*, GEN FROM kpi JOIN gen USING (CELL_LAC_ID))"
+KEPT = " UNION ALL ".join(
+    f"SELECT '{layer}' AS GEN, '{c}' AS METRIC, round(1 - count({c}) / count(*)::DOUBLE, 6) AS SHARE,"
+    f" count(DISTINCT {c}) AS N_DISTINCT FROM placed WHERE GEN = '{layer}'"
+    f" HAVING 1 - count({c}) / count(*)::DOUBLE <= {MAX_SHARE} AND count(DISTINCT {c}) >= {MIN_DISTINCT}"
+    for layer, columns in fixed.KPI_BY_LAYER.items()
+    for c in columns
+)
+# The last label of a day goes to the faster layer where the files have no further column to tell.
+FILE_SUMMARY = f"""summary AS (SELECT SK_ID, first(PHONE_GEN ORDER BY SNAP DESC, PHONE_GEN DESC)
+  FILTER (WHERE PHONE_GEN IS NOT NULL) AS PHONE_GEN FROM (SELECT *, {PHONE} AS PHONE_GEN FROM features) GROUP BY SK_ID)"""
+TO_FILE_MART = f"""{TO_TRAFFIC}, {FEATURES}, {FILE_SUMMARY}, {ANSWERS},
+  mart AS (SELECT * FROM answers JOIN summary USING (SK_ID) JOIN traffic USING (SK_ID))"""
+SAME_MONTH_MEANS = f"""WITH {FEATURES}, {USAGE} SELECT INTERNET_TYPE_ID, round(avg(SUM_DATA_MB), 4) AS MEAN,
+  count(SUM_DATA_MB) AS N FROM features f JOIN consumption c ON f.SK_ID = c.SK_ID AND month(f.MONTH) = month(c.MONTH)
+  WHERE INTERNET_TYPE_ID IS NOT NULL GROUP BY INTERNET_TYPE_ID"""
+LABELLED = """SELECT INTERNET_TYPE_ID, MEAN, N, ['2G', '3G', '4G'][row_number() OVER
+  (ORDER BY MEAN, INTERNET_TYPE_ID)] AS LABEL FROM ({})"""
+SORTED_KPI = ", ".join(f"{c} NULLS LAST" for c in fixed.KPI_COLUMNS)
+
+
+def infinite_correlation() -> str:
+    values = []
+    for x, y in combinations_with_replacement(INFINITE, 2):
+        spoiled = f"count(*) FILTER (WHERE (isinf({x}) OR isinf({y})) AND {x} IS NOT NULL AND {y} IS NOT NULL)"
+        known = f"corr({x}, {y}) FILTER (WHERE NOT isinf({x}) AND NOT isinf({y}))"
+        values.append(f"{{'x': '{x}', 'y': '{y}', 'c': CASE WHEN {spoiled} = 0 THEN {known} END}}")
+    rows = ", ".join(f"CAST({sql} AS DOUBLE) AS {name}" for name, sql in INFINITE.items())
+    return f"""WITH wide AS (SELECT [{", ".join(values)}] AS pairs FROM (SELECT {rows} FROM lineitem)),
+      pairs AS (SELECT unnest(pairs) AS p FROM wide)
+      SELECT p.x AS "X", p.y AS "Y", round(p.c, 6) AS CORR FROM pairs
+      UNION ALL SELECT p.y, p.x, round(p.c, 6) FROM pairs WHERE p.x <> p.y"""
+
+
+def component_pair() -> str:
+    one, other = PAIR
+    return f"""WITH {kpi()}, filled AS (SELECT ROW_ID, {", ".join(
+        f"coalesce({c}, avg({c}) OVER (PARTITION BY CELL_LAC_ID, isodow(KPI_DATE) >= 6),"
+        f" avg({c}) OVER (PARTITION BY CELL_LAC_ID)) AS {c}" for c in PAIR)} FROM kpi),
+      whole AS (SELECT ROW_ID, {", ".join(f"coalesce({c}, avg({c}) OVER ()) AS {c}" for c in PAIR)} FROM filled),
+      z AS (SELECT ROW_ID, {", ".join(f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () AS {c}" for c in PAIR)} FROM whole),
+      s AS (SELECT corr({one}, {other}) AS r FROM z)
+      SELECT ROW_ID, round(CASE WHEN r > 0 THEN {one} + {other} ELSE {one} - {other} END / sqrt(2), 4) AS PC1,
+        round(CASE WHEN r > 0 THEN {one} - {other} ELSE {one} + {other} END / sqrt(2), 4) AS PC2 FROM z, s"""
+
+
 ORACLES: dict[str, str] = {
     # cell layers
     "cell_generation": f"WITH {TO_GEN} SELECT * FROM gen",
@@ -234,6 +281,9 @@ ORACLES: dict[str, str] = {
         f"""SELECT CELL_LAC_ID, '{g}' AS METRIC, "{g}" AS VALUE FROM ({SMALL_CONFLICTS} >= 2)"""
         for g in fixed.LAYERS
     ),
+    "transpose_counts": f"WITH {SMALL_TO_SCORES}, c AS (SELECT counts.* FROM counts JOIN scores USING (CELL_LAC_ID)"
+    f" WHERE {N_GROUPS} >= 2) UNPIVOT c ON {', '.join(COUNTED)} INTO NAME METRIC VALUE VALUE",
+    "split_3g_large_lookup": f"WITH {TO_GEN} {layer_rows('3G', fixed.KPI_3G)}",
     "split_2g": f"WITH {TO_GEN} {layer_rows('2G', fixed.KPI_2G)}",
     "split_3g": f"WITH {TO_GEN} {layer_rows('3G', fixed.KPI_3G)}",
     "split_4g": f"WITH {TO_GEN} {layer_rows('4G', fixed.KPI_4G)}",
@@ -243,6 +293,12 @@ ORACLES: dict[str, str] = {
     "table_profile": table_profile(),
     "missing_share": per_layer("SHARE", "round(1 - count({c}) / count(*)::DOUBLE, 6)"),
     "distinct_counts": per_layer("N_DISTINCT", "count(DISTINCT {c})"),
+    "kept_columns": f"WITH {TO_GEN}, {PLACED} {KEPT}",
+    "pruned_by_threshold_3g": f"WITH {TO_GEN}, {PLACED}, kept AS ({KEPT}), long AS (SELECT ROW_ID, METRIC, VALUE FROM ("
+    f"SELECT ROW_ID, {', '.join(fixed.KPI_3G)} FROM placed WHERE GEN = '3G')"
+    f" UNPIVOT INCLUDE NULLS (VALUE FOR METRIC IN ({', '.join(fixed.KPI_3G)})))"
+    " SELECT ROW_ID, METRIC, round(VALUE, 6) AS VALUE FROM long"
+    " WHERE METRIC IN (SELECT METRIC FROM kept WHERE GEN = '3G')",
     "pruned_3g": f"WITH {TO_GEN} {layer_rows('3G', kept('3G'))}",
     "pruned_4g": f"WITH {TO_GEN} {layer_rows('4G', kept('4G'))}",
     "correlation_2g": correlation("2G", fixed.KPI_2G),
@@ -255,10 +311,10 @@ ORACLES: dict[str, str] = {
     "missing_metric_rows": f"WITH {kpi()} SELECT ROW_ID, T_DATE, CELL_LAC_ID FROM kpi"
     " WHERE DL_VOLUME_LTE IS NULL",
     "presence_flags": f"WITH {kpi()} SELECT ROW_ID, CELL_LAC_ID, "
-    + ", ".join(f"CAST({c} IS NOT NULL AS INT) AS HAS_{c}" for c in fixed.KPI_4G)
+    + ", ".join(f"CAST({c} IS NOT NULL AS INT) AS HAS_{c}" for c in fixed.KPI_COLUMNS)
     + " FROM kpi",
     "impute_daytype": f"WITH {kpi()} SELECT ROW_ID, KPI_DATE, CELL_LAC_ID,"
-    f" {', '.join(map(filled, ['PART_CQI_QPSK_LTE', 'RBU_AVAIL_DL_LTE', 'DL_VOLUME_LTE']))} FROM kpi",
+    f" {', '.join(map(filled, fixed.KPI_COLUMNS))} FROM kpi",
     "kpi_anomalies": f"WITH {anomalies(2.0)} SELECT CELL_LAC_ID, METRIC, round(Z, 6) AS Z FROM anomalies",
     "kpi_anomaly_counts": f"WITH {anomalies(1.5)} SELECT CELL_LAC_ID, count(*) AS N_METRICS,"
     " round(max(abs(Z)), 6) AS MAX_Z FROM anomalies GROUP BY CELL_LAC_ID HAVING count(*) >= 2",
@@ -269,6 +325,23 @@ ORACLES: dict[str, str] = {
         " FROM placed GROUP BY GEN"
         for c in ("CHANNEL_LOAD", "CHANNEL_LOSS", "CHANNEL_VOLUME")
     ),
+    "channel_distinct_counts": f"WITH {TO_GEN}, {CHANNEL}, placed AS (SELECT channel.*, GEN FROM channel"
+    " JOIN gen USING (CELL_LAC_ID)) "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS METRIC, count(DISTINCT {c}) AS N_DISTINCT, GEN FROM placed GROUP BY GEN"
+        for c in ("CHANNEL_LOAD", "CHANNEL_LOSS", "CHANNEL_VOLUME")
+    ),
+    "metric_history_4g": f"""WITH {TO_GEN}, h AS (SELECT CELL_LAC_ID,
+      CAST(try_strptime(T_DATE || '.02', '%d.%m.%y') AS DATE) AS "DATE", DL_VOLUME_LTE
+      FROM kpi JOIN gen USING (CELL_LAC_ID) WHERE GEN = '4G')
+      SELECT *, row_number() OVER (ORDER BY CELL_LAC_ID NULLS LAST, "DATE" NULLS LAST, DL_VOLUME_LTE NULLS LAST) AS PLACE FROM h""",
+    "missing_metric_rows_4g": f"WITH {TO_GEN} SELECT ROW_ID, T_DATE, CELL_LAC_ID FROM kpi JOIN gen USING (CELL_LAC_ID)"
+    " WHERE GEN = '4G' AND DL_VOLUME_LTE IS NULL",
+    "correlation_with_infinities": infinite_correlation(),
+    "kpi_components_pair": component_pair(),
+    "separated_clusters": """WITH k AS (SELECT DISTINCT l_suppkey AS CELL_LAC_ID, l_suppkey % 4 AS kind FROM lineitem),
+      f AS (SELECT kind, row_number() OVER (ORDER BY min(CELL_LAC_ID)) - 1 AS CLUSTER FROM k GROUP BY kind)
+      SELECT CELL_LAC_ID, CAST(CLUSTER AS INT) AS CLUSTER FROM k JOIN f USING (kind)""",
     # phone layers
     "code_frequency": f"WITH {FEATURES} SELECT INTERNET_TYPE_ID, count(*) AS N FROM features"
     " GROUP BY INTERNET_TYPE_ID",
@@ -277,6 +350,18 @@ ORACLES: dict[str, str] = {
     "month_frequency": f"WITH {USAGE} SELECT MON, count(*) AS N FROM consumption GROUP BY MON",
     "mean_by_code": MEAN_BY_CODE,
     "mean_by_code_last_month": mean_by_code("SK_ID", LAST_MONTH),
+    "mean_by_code_last_full_month": f"""WITH {FEATURES}, {USAGE},
+      codes AS (SELECT DISTINCT MONTH, INTERNET_TYPE_ID FROM features JOIN consumption USING (SK_ID, MONTH)
+        WHERE INTERNET_TYPE_ID IS NOT NULL AND SUM_DATA_MB IS NOT NULL),
+      last AS (SELECT max(MONTH) AS m FROM (SELECT MONTH, count(*) AS n FROM codes GROUP BY MONTH)
+        WHERE n = (SELECT count(DISTINCT INTERNET_TYPE_ID) FROM codes))
+      SELECT INTERNET_TYPE_ID, round(avg(SUM_DATA_MB), 4) AS MEAN, count(SUM_DATA_MB) AS N
+      FROM features f JOIN consumption c USING (SK_ID) WHERE INTERNET_TYPE_ID IS NOT NULL
+        AND f.MONTH = (SELECT m FROM last) AND c.MONTH = (SELECT m FROM last) GROUP BY INTERNET_TYPE_ID""",
+    "code_labels_from_files": LABELLED.format(SAME_MONTH_MEANS),
+    "phone_generation_derived": f"""WITH {FEATURES}, labelled AS ({LABELLED.format(MEAN_BY_CODE)})
+      SELECT SK_ID, SNAP_DATE, MONTH, INTERNET_TYPE_ID, REVENUE, SNAP_ID, LABEL AS PHONE_GEN
+      FROM features LEFT JOIN labelled USING (INTERNET_TYPE_ID)""",
     "mean_per_subject": f"""WITH {FEATURES}, {USAGE},
       used AS (SELECT SK_ID, sum(SUM_DATA_MB) AS total FROM consumption GROUP BY SK_ID),
       holders AS (SELECT DISTINCT SK_ID, INTERNET_TYPE_ID FROM features WHERE INTERNET_TYPE_ID IS NOT NULL)
@@ -311,6 +396,9 @@ ORACLES: dict[str, str] = {
     "sessions_with_layer": f"WITH {TO_GEN}, {SESSIONS} SELECT CELL_LAC_ID, SK_ID, START_TIME, DATA_VOL_MB,"
     " substr(START_TIME, 1, 5) AS START_DATE, GEN FROM sessions LEFT JOIN gen USING (CELL_LAC_ID)",
     "traffic_by_layer": f"WITH {TO_TRAFFIC} SELECT SK_ID, {traffic_columns('DATA_VOL', 6)} FROM traffic",
+    "traffic_by_layer_large_lookup": f"WITH {TO_TRAFFIC} SELECT SK_ID, {traffic_columns('DATA_VOL', 6)} FROM traffic",
+    "exposure_from_files": f"""WITH {TO_FILE_MART} SELECT CSI, round(avg("CNT_HOURS_2G"), 6) AS MEAN,
+      count(*) AS N FROM mart WHERE PHONE_GEN = '4G' GROUP BY CSI""",
     "voice_by_layer": f"WITH {TO_GEN}, {VOICE}, {traffic('traffic', 'voice', 'VOICE_MIN', 'VOICE_MIN')}"
     f" SELECT SK_ID, {traffic_columns('VOICE_MIN', 6)} FROM traffic",
     "voice_only_subscribers": f"WITH {VOICE} SELECT DISTINCT SK_ID FROM voice"
@@ -332,7 +420,18 @@ ORACLES: dict[str, str] = {
     "roc_auc": auc(),
     "auc_by_scoring": auc("SCORING"),
     "scores_in_order": f"WITH {SCORED} SELECT POSITION, SK_ID, SCORE FROM scored",
+    "held_out_scores": f"""WITH {TO_MART}, m AS (SELECT SK_ID, CSI, coalesce(PHONE_GEN = '4G', false) AS flag,
+        {SLOT} < 60 AS is_train FROM mart),
+      rate AS (SELECT flag, avg(CSI) AS r FROM m WHERE is_train GROUP BY flag),
+      test AS (SELECT SK_ID FROM answers WHERE {SLOT} >= 60)
+      SELECT row_number() OVER (ORDER BY t.SK_ID DESC) AS PLACE, t.SK_ID, round(r, 4) AS SCORE
+      FROM test t LEFT JOIN m ON m.SK_ID = t.SK_ID AND NOT is_train LEFT JOIN rate USING (flag)""",
     # files and rows
+    "csv_preview": "WITH " + USAGE + """ SELECT CAST(SK_ID AS VARCHAR) AS SK_ID, CAST(CELL_LAC_ID AS VARCHAR) AS CELL_LAC_ID, MON,
+      replace(CAST(SUM_MINUTES AS VARCHAR), '.', ',') AS SUM_MINUTES, replace(CAST(SUM_DATA_MB AS VARCHAR), '.', ',') AS SUM_DATA_MB,
+      replace(CAST(SUM_DATA_MIN AS VARCHAR), '.', ',') AS SUM_DATA_MIN
+      FROM (FROM consumption ORDER BY consumption.SK_ID, consumption.CELL_LAC_ID, MON, consumption.SUM_MINUTES,
+        consumption.SUM_DATA_MB, consumption.SUM_DATA_MIN LIMIT 10)""",
     "csv_typed_scan": f"WITH {USAGE} SELECT SK_ID, CELL_LAC_ID, MON, round(SUM_MINUTES, 6) AS SUM_MINUTES,"
     " round(SUM_DATA_MB, 6) AS SUM_DATA_MB, round(SUM_DATA_MIN, 6) AS SUM_DATA_MIN FROM consumption",
     "csv_parse_failures": "SELECT 'CELL_LAC_ID' AS METRIC, CAST(0 AS BIGINT) AS N_FAILED UNION ALL"
@@ -344,5 +443,7 @@ ORACLES: dict[str, str] = {
     " FROM features ORDER BY SK_ID, SNAP_ID LIMIT 5",
     "random_rows": f"WITH {kpi()} SELECT ROW_ID, T_DATE, CELL_LAC_ID FROM kpi"
     f" ORDER BY md5(ROW_ID || '|0'), ROW_ID LIMIT {fixed.SAMPLE_ROWS}",
+    "sorted_sample": f"""WITH {kpi()}, s AS (SELECT * FROM kpi ORDER BY md5(ROW_ID || '|0'), ROW_ID LIMIT {fixed.SAMPLE_ROWS})
+      SELECT row_number() OVER (ORDER BY {SORTED_KPI}, ROW_ID) AS PLACE, ROW_ID, T_DATE, CELL_LAC_ID FROM s""",
     "sorted_rows": f"WITH {kpi()} SELECT ROW_ID, {', '.join(fixed.KPI_2G)} FROM kpi",
 }

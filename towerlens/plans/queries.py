@@ -1,6 +1,6 @@
 """The registered queries. Each takes a session and a data folder and reads whole tables."""
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +35,23 @@ FEATURE_TYPES = {
 }
 # A numeric column that also holds missing marks and junk, for the parse check.
 MIXED_TEXT = "CASE WHEN l_returnflag = 'R' THEN l_linestatus WHEN l_returnflag = 'N' THEN 'NA' ELSE '99,93' END"
-FILLED_4G = ["PART_CQI_QPSK_LTE", "RBU_AVAIL_DL_LTE", "DL_VOLUME_LTE"]
+CHANNELS = ["CHANNEL_LOAD", "CHANNEL_LOSS", "CHANNEL_VOLUME"]
+PAIR = ["CSSR_2G", "PSSR_2G"]
+INFINITE = {
+    "A": "l_quantity",
+    "B": "l_extendedprice",
+    "C": "l_discount",
+    "D": "CASE WHEN l_orderkey % 1000 = 3 THEN CAST('Infinity' AS DOUBLE) ELSE l_tax END",
+    "E": "CASE WHEN l_orderkey % 1000 <> 3 THEN l_quantity * l_discount END",
+}
+# Added before rounding, as means of cents often lie right between two rounded numbers.
+OFF_GRID = 0.000000137
+MAX_SHARE = 0.75
+MIN_DISTINCT = 12
+KPI_TYPES = {"T_DATE": "string", CELL: "bigint", **dict.fromkeys(fixed.KPI_COLUMNS, "double")}
+SESSION_TYPES = {"SK_ID": "bigint", CELL: "bigint", "START_TIME": "string", "DATA_VOL_MB": "double"}
+ANSWER_TYPES = {"SK_ID": "bigint", "CSI": "int"}
+SNAPSHOT_TYPES = {"SK_ID": "bigint", "SNAP_DATE": "string", "INTERNET_TYPE_ID": "int", "REVENUE": "double"}
 EXPOSURE = [f"{name}_{layer}" for name in ("DATA_VOL", "CNT_DAYS", "CNT_HOURS") for layer in fixed.LAYERS]
 
 
@@ -50,18 +66,39 @@ def small_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standins.cell_kpi(spark, sf_dir, cell="l_orderkey")
 
 
-def per_layer(make: Callable[[DataFrame, Sequence[str]], DataFrame]) -> Query:
-    """The same profile on each layer's own table and columns."""
+def placed_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPI table with the layer of each row's cell."""
+    kpi = standins.cell_kpi(spark, sf_dir)
+    return lookup_join(kpi, analyses.cell_layers(kpi), [CELL], "inner")
 
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = analyses.kpi_by_layer(standins.cell_kpi(spark, sf_dir), ROW)
-        result = None
-        for layer, columns in fixed.KPI_BY_LAYER.items():
-            part = make(tables[layer], columns).withColumn("GEN", F.lit(layer))
-            result = part if result is None else result.unionByName(part)
-        return rounded(result)
 
-    return query
+def placed_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layer_of_cell = analyses.cell_layers(standins.cell_kpi(spark, sf_dir))
+    return lookup_join(standins.channel_kpi(spark, sf_dir), layer_of_cell, [CELL], "inner")
+
+
+def per_layer(make: Callable, source: Query = placed_kpi, columns: dict = fixed.KPI_BY_LAYER) -> Query:
+    """The same profile of each layer's own columns, all layers in one pass."""
+    return lambda spark, sf_dir: rounded(make(source(spark, sf_dir), "GEN", columns))
+
+
+def kept_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of each layer that are missing in few rows and hold enough values."""
+    placed = placed_kpi(spark, sf_dir)
+    missing = profile.group_missing_profile(placed, "GEN", fixed.KPI_BY_LAYER)
+    values = profile.group_cardinality_profile(placed, "GEN", fixed.KPI_BY_LAYER)
+    kept = missing.where(F.col("SHARE") <= MAX_SHARE).join(values.where(F.col("N_DISTINCT") >= MIN_DISTINCT), ["GEN", "METRIC"])
+    return rounded(kept)
+
+
+def pruned_by_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 3G table without weak columns, in long form, as its columns depend on the data."""
+    table = analyses.kpi_by_layer(standins.cell_kpi(spark, sf_dir), ROW)["3G"]
+    strong = profile.prune_missing(table, fixed.KPI_3G, max_share=MAX_SHARE)
+    rest = [c for c in strong.columns if c in fixed.KPI_3G]
+    strong = profile.prune_low_cardinality(strong, rest, min_distinct=MIN_DISTINCT)
+    rest = [c for c in strong.columns if c in fixed.KPI_3G]
+    return rounded(strong.unpivot(["ROW_ID"], rest, "METRIC", "VALUE"))
 
 
 def layer_table(layer: str) -> Query:
@@ -92,10 +129,13 @@ def shared_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conflict_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kpi = small_cells(spark, sf_dir)
-    conflicts = coverage.coverage_conflicts(kpi, CELL, fixed.SCORED_BY_LAYER)
-    counts = coverage.coverage_counts(kpi, CELL, fixed.SCORED_BY_LAYER)
-    return coverage.rows_of_keys(counts, conflicts, CELL)
+    return coverage.conflict_counts(small_cells(spark, sf_dir), CELL, fixed.SCORED_BY_LAYER)
+
+
+def transposed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of conflicting cells over all scored columns, one row per cell and column."""
+    scored = [c for columns in fixed.SCORED_BY_LAYER.values() for c in columns]
+    return coverage.long_form(conflict_rows(spark, sf_dir), CELL, scored)
 
 
 def transposed_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,26 +144,13 @@ def transposed_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.presence_flags(standins.cell_kpi(spark, sf_dir), ["ROW_ID", CELL], fixed.KPI_4G)
+    return profile.presence_flags(standins.cell_kpi(spark, sf_dir), ["ROW_ID", CELL], fixed.KPI_COLUMNS)
 
 
 def day_type_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kpi = standins.cell_kpi(spark, sf_dir).select("ROW_ID", "KPI_DATE", CELL, *FILLED_4G)
-    return rounded(fill_by_day_type(kpi, CELL, "KPI_DATE", FILLED_4G), 10)
-
-
-def channel_missing_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layer_of_cell = analyses.cell_layers(standins.cell_kpi(spark, sf_dir))
-    measures = ["CHANNEL_LOAD", "CHANNEL_LOSS", "CHANNEL_VOLUME"]
-    groups = {layer: measures for layer in fixed.LAYERS}
-    tables = coverage.split_by_group(
-        standins.channel_kpi(spark, sf_dir), layer_of_cell, CELL, groups, [CELL]
-    )
-    result = None
-    for layer, table in tables.items():
-        part = profile.missing_profile(table, measures).withColumn("GEN", F.lit(layer))
-        result = part if result is None else result.unionByName(part)
-    return rounded(result)
+    kpi = standins.cell_kpi(spark, sf_dir).select("ROW_ID", "KPI_DATE", CELL, *fixed.KPI_COLUMNS)
+    filled = fill_by_day_type(kpi, CELL, "KPI_DATE", fixed.KPI_COLUMNS)
+    return rounded(filled.withColumns({c: F.col(c) + OFF_GRID for c in fixed.KPI_COLUMNS}))
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,7 +286,11 @@ def csv_typed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return delimited.preview(spark, written_consumption(spark, sf_dir))
+    """The first lines of the consumption table, written in the order of its columns."""
+    path = new_path(spark, "consumption-csv")
+    delimited.write_delimited(standins.consumption(spark, sf_dir).select(*CONSUMPTION_TYPES).orderBy(*CONSUMPTION_TYPES), path)
+    lines = delimited.with_position(delimited.read_raw(spark, path))
+    return lines.orderBy("POSITION").limit(10).drop("POSITION")
 
 
 def csv_parse_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,6 +314,123 @@ def train_test_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(delimited.read_train_test(spark, *paths, FEATURE_TYPES))
 
 
+def in_files(spark: SparkSession, table: DataFrame, types: dict[str, str], name: str) -> DataFrame:
+    """A table written as a train and a test file, by subscriber, with the files' own columns, and read back."""
+    paths = []
+    is_train = percent_slot(F.col(SUBSCRIBER)) < 60
+    for split, condition in (("train", is_train), ("test", ~is_train)):
+        paths.append(new_path(spark, f"{name}-{split}-csv"))
+        delimited.write_delimited(table.where(condition).select(*types), paths[-1])
+    return delimited.read_train_test(spark, *paths, types)
+
+
+def exposure_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exposure by outcome, every table through delimited files that hold the known columns and no others."""
+    path = new_path(spark, "kpi-csv")
+    delimited.write_delimited(standins.cell_kpi(spark, sf_dir).select(*KPI_TYPES), path)
+    mart_ = analyses.exposure_mart(
+        delimited.read_typed(spark, path, KPI_TYPES),
+        in_files(spark, standins.data_sessions(spark, sf_dir), SESSION_TYPES, "sessions"),
+        in_files(spark, features(spark, sf_dir), SNAPSHOT_TYPES, "features"),
+        in_files(spark, standins.survey_answers(spark, sf_dir), ANSWER_TYPES, "answers").drop("SPLIT"),
+    )
+    return rounded(analyses.layer_exposure_by_outcome(mart_))
+
+
+def device_labels_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Device codes labelled by their traffic, from delimited files with the known columns."""
+    means = analyses.means_of_same_month(
+        in_files(spark, features(spark, sf_dir), SNAPSHOT_TYPES, "features"),
+        in_files(spark, standins.consumption(spark, sf_dir), CONSUMPTION_TYPES, "consumption"),
+    )
+    return analyses.device_labels(rounded(means, 4))
+
+
+def derived_phone_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analyses.with_derived_phone_layer(features(spark, sf_dir), device_labels(spark, sf_dir))
+
+
+def last_full_month_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(analyses.last_full_month_means(features(spark, sf_dir), standins.consumption(spark, sf_dir)), 4)
+
+
+def infinite_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = standins.table(spark, sf_dir, "lineitem").selectExpr(*[f"{sql} AS {name}" for name, sql in INFINITE.items()])
+    return rounded(correlation_matrix(df, list(INFINITE)))
+
+
+def split_3g_large_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 3G table by the join for large lookups, whose key is of another type here."""
+    kpi = standins.cell_kpi(spark, sf_dir)
+    layers_ = analyses.cell_layers(kpi).withColumn(CELL, F.col(CELL).cast("int"))
+    return coverage.split_by_group(kpi, layers_, CELL, fixed.KPI_BY_LAYER, ROW, broadcast_bytes=0)["3G"]
+
+
+def traffic_large_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers_ = analyses.cell_layers(standins.cell_kpi(spark, sf_dir)).withColumn(CELL, F.col(CELL).cast("int"))
+    return rounded(layers.traffic_by_layer(standins.data_sessions(spark, sf_dir), layers_, broadcast_bytes=0))
+
+
+def history_4g(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A measurement of the 4G cells in the order of cell and date, with each row's place."""
+    kpi = analyses.kpi_by_layer(standins.cell_kpi(spark, sf_dir), ROW)["4G"]
+    return rows.numbered(usage.metric_history(kpi, CELL, "T_DATE", "DL_VOLUME_LTE"))
+
+
+def missing_rows_4g(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kpi = analyses.kpi_by_layer(standins.cell_kpi(spark, sf_dir), ROW)["4G"]
+    return usage.missing_rows(kpi, "DL_VOLUME_LTE", ROW)
+
+
+def sorted_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of the KPI table sorted by all its columns, with each row's place."""
+    sample = rows.random_rows(standins.cell_kpi(spark, sf_dir), ["ROW_ID"], fixed.SAMPLE_ROWS)
+    return rows.numbered(rows.sorted_by_columns(sample, [*fixed.KPI_COLUMNS, "ROW_ID"])).select("PLACE", *ROW)
+
+
+def component_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both principal components of two columns, after their gaps are filled by type of day."""
+    kpi = standins.cell_kpi(spark, sf_dir).select("ROW_ID", "KPI_DATE", CELL, *PAIR)
+    kpi = fill_by_day_type(kpi, CELL, "KPI_DATE", PAIR)
+    return rounded(learn.principal_components(kpi, ["ROW_ID"], PAIR, 2), 4)
+
+
+def separated_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of four kinds that are far apart."""
+    kind = F.col("l_suppkey") % 4
+    cells = standins.table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias(CELL),
+        (kind * 1000 + F.col("l_discount")).alias("A"),
+        ((kind % 2) * 1000 + F.col("l_tax")).alias("B"),
+        F.lit(None).cast("double").alias("EMPTY"),
+    )
+    return learn.similar_keys(cells, CELL, ["A", "B", "EMPTY"], 4)
+
+
+def held_out_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the test subscribers by a model of the others, delivered in the order of the test file.
+
+    The model has one yes-or-no column and no regularisation, so its scores are the rates of the two groups.
+    """
+    joined = mart(spark, sf_dir).withColumn("FOUR_G", F.coalesce(F.col("PHONE_GEN") == "4G", F.lit(False)).cast("double"))
+    is_train = percent_slot(F.col(SUBSCRIBER)) < 60
+    test = new_path(spark, "test-csv")
+    wanted = standins.survey_answers(spark, sf_dir).where(~is_train).select(SUBSCRIBER).orderBy(F.desc(SUBSCRIBER))
+    delimited.write_delimited(wanted, test)
+    lines = delimited.with_position(delimited.read_raw(spark, test))
+    lines = lines.select(F.col(SUBSCRIBER).cast("bigint").alias(SUBSCRIBER), "POSITION")
+    scores = learn.outcome_scores(
+        joined.where(is_train), SUBSCRIBER, "CSI", ["FOUR_G"], joined.where(~is_train), regularisation=0.0
+    )
+    ordered = written(rows.numbered(score.scores_in_order(lines, scores, SUBSCRIBER, "POSITION", "SCORE")), "ordered")
+    delivered = new_path(spark, "scores")
+    delimited.write_scores(ordered.orderBy("PLACE"), "SCORE", delivered)
+    texts = delimited.with_position(spark.read.text(delivered))
+    texts = rows.numbered(texts.orderBy("POSITION").select("value"))
+    result = ordered.join(texts, "PLACE", "left")
+    return rounded(result.select("PLACE", SUBSCRIBER, F.col("value").try_cast("double").alias("SCORE")), 4)
+
+
 def kpi_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     kpi = standins.cell_kpi(spark, sf_dir).select("ROW_ID", CELL, *fixed.KPI_2G)
     return learn.principal_components(kpi, ["ROW_ID", CELL], fixed.KPI_2G, 2)
@@ -320,15 +468,19 @@ QUERIES: dict[str, Query] = {
     "shared_cells": shared_cells,
     "conflict_rows": conflict_rows,
     "transpose_conflicts": transposed_conflicts,
+    "transpose_counts": transposed_counts,
     "split_2g": layer_table("2G"),
     "split_3g": layer_table("3G"),
     "split_4g": layer_table("4G"),
+    "split_3g_large_lookup": split_3g_large_lookup,
     "null_patterns": on_kpi(lambda kpi: profile.null_patterns(kpi, fixed.KPI_BY_LAYER)),
     "null_patterns_scored": on_kpi(lambda kpi: profile.null_patterns(kpi, fixed.SCORED_BY_LAYER)),
     # profiles
     "table_profile": on_kpi(profile.table_profile),
-    "missing_share": per_layer(profile.missing_profile),
-    "distinct_counts": per_layer(profile.cardinality_profile),
+    "missing_share": per_layer(profile.group_missing_profile),
+    "distinct_counts": per_layer(profile.group_cardinality_profile),
+    "kept_columns": kept_columns,
+    "pruned_by_threshold_3g": pruned_by_threshold,
     "pruned_3g": pruned_table("3G"),
     "pruned_4g": pruned_table("4G"),
     "correlation_2g": correlations("2G"),
@@ -354,9 +506,19 @@ QUERIES: dict[str, Query] = {
             )
         )
     ),
-    "channel_missing_share": channel_missing_share,
+    "channel_missing_share": per_layer(
+        profile.group_missing_profile, placed_channels, dict.fromkeys(fixed.LAYERS, CHANNELS)
+    ),
+    "channel_distinct_counts": per_layer(
+        profile.group_cardinality_profile, placed_channels, dict.fromkeys(fixed.LAYERS, CHANNELS)
+    ),
+    "metric_history_4g": history_4g,
+    "missing_metric_rows_4g": missing_rows_4g,
+    "correlation_with_infinities": infinite_correlation,
     "kpi_components": kpi_components,
+    "kpi_components_pair": component_pair,
     "cell_clusters": cell_clusters,
+    "separated_clusters": separated_clusters,
     # phone layers
     "code_frequency": on_kpi(lambda df: profile.value_frequency(df, "INTERNET_TYPE_ID"), features),
     "code_frequency_last_month": last_month_codes,
@@ -365,8 +527,11 @@ QUERIES: dict[str, Query] = {
     ),
     "mean_by_code": month_means,
     "mean_by_code_last_month": last_month_means,
+    "mean_by_code_last_full_month": last_full_month_means,
     "mean_per_subject": subscriber_means,
     "code_labels": device_labels,
+    "code_labels_from_files": device_labels_from_files,
+    "phone_generation_derived": derived_phone_layer,
     "phone_generation": on_kpi(analyses.with_phone_layer, features),
     # important cells
     "cells_per_subject": on_kpi(
@@ -390,6 +555,7 @@ QUERIES: dict[str, Query] = {
     # exposure to the wrong layer
     "sessions_with_layer": sessions_with_layer,
     "traffic_by_layer": lambda spark, sf_dir: rounded(data_traffic(spark, sf_dir)),
+    "traffic_by_layer_large_lookup": traffic_large_lookup,
     "voice_by_layer": voice_traffic,
     "voice_only_subscribers": voice_only,
     "subject_summary": on_kpi(lambda df: rounded(analyses.subscriber_summary(df)), features),
@@ -397,6 +563,7 @@ QUERIES: dict[str, Query] = {
     "layer_exposure_by_outcome": lambda spark, sf_dir: rounded(
         analyses.layer_exposure_by_outcome(mart(spark, sf_dir))
     ),
+    "exposure_from_files": exposure_from_files,
     "wrong_layer_share": wrong_layer,
     # scores
     "roc_auc": auc,
@@ -404,6 +571,7 @@ QUERIES: dict[str, Query] = {
     "scores_in_order": ordered_scores,
     "outcome_scores": outcome_scores,
     "outcome_auc": outcome_auc,
+    "held_out_scores": held_out_scores,
     # files and rows
     "csv_typed_scan": csv_typed_scan,
     "csv_preview": csv_preview,
@@ -413,6 +581,7 @@ QUERIES: dict[str, Query] = {
     "random_rows": on_kpi(
         lambda kpi: rows.random_rows(kpi, ["ROW_ID"], fixed.SAMPLE_ROWS).select(*ROW)
     ),
+    "sorted_sample": sorted_sample,
     "sorted_rows": on_kpi(
         lambda kpi: rows.sorted_by_columns(kpi, fixed.KPI_2G).select("ROW_ID", *fixed.KPI_2G)
     ),

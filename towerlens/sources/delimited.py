@@ -74,12 +74,12 @@ def with_position(raw: DataFrame, position: str = "POSITION") -> DataFrame:
 def write_delimited(df: DataFrame, path: str, header: bool = True) -> None:
     """Writes the rows in their order, as part files, numbers with a decimal comma."""
     columns = [
-        comma_text(F.col(name)).alias(name) if dtype in ("double", "float") else F.col(name)
+        comma_text(F.col(name)).alias(name) if dtype.startswith(("double", "float", "decimal")) else F.col(name)
         for name, dtype in df.dtypes
     ]
     df.select(*columns).write.option("sep", fixed.FIELD_SEPARATOR).option("header", header).csv(path)
 
 
 def write_scores(scores: DataFrame, score: str, path: str) -> None:
-    """One column of scores without a header, in the order of the rows."""
-    scores.select(F.col(score).cast("string")).write.option("header", False).csv(path)
+    """One score a line without a header, in the order of the rows; a missing score is an empty line."""
+    scores.select(F.coalesce(F.col(score).cast("string"), F.lit(""))).write.text(path)

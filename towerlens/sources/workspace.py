@@ -25,8 +25,26 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder()
 
 
+_made: dict[str, list[str]] = {}
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/towerlens/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/towerlens/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def forget_written(spark: SparkSession) -> int:
+    """Deletes the tables this session has written on its way, and says how many.
+
+    To be called when the results that read them have been saved; until then nothing is removed.
+    """
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    jvm, settings = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(settings).delete(path, True)
+    return len(paths)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
