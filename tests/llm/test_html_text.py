@@ -42,6 +42,13 @@ def test_page():
     ]
 
 
+def test_marks_are_read_from_attributes_only():
+    page = "<div class='site-header'><p>The site's own line of text, long enough.</p></div><main><div data-id=menu title='hidden'>"
+    page += "<p data-class='ad'>One paragraph of text.</p><p hidden>Not shown at all, to nobody.</p><p class=AdBox>Buy.</p></div>"
+    page += "<header class=header><h1>Title</h1></header><figure><figcaption>A picture of it.</figcaption></figure></main>"
+    assert main_text(page) == "One paragraph of text.\nTitle\nA picture of it."
+
+
 def test_odd_pages(spark):
     odd = [None, "", " \n ", "<", "<p", "<!--", "<script>x", "</p></div>", "<p>" * 3000 + "x", "<div>" * 3000 + "<p>deep text here.", PAGE, PAGE]
     pages = spark.createDataFrame([(place, "u", html) for place, html in enumerate(odd)], "page_id long, text string, html string")

@@ -35,14 +35,14 @@ CLOSES = {
 }
 SCOPES = {"ul", "ol", "dl", "table", "select", "div", "section", "article", "body"}
 # Elements and words of class, id or role that mark what isn't content.
-ASIDE = {"nav", "footer", "aside", "form", "menu", "button", "select", "dialog", "fieldset", "head", "figcaption"}
+ASIDE = {"nav", "footer", "aside", "form", "menu", "button", "select", "dialog", "fieldset", "head"}
 MARKED = {
     "ad", "ads", "adv", "advert", "advertisement", "advertising", "adbox", "adsbygoogle", "alert", "banner", "breadcrumb", "breadcrumbs",
-    "byline", "comment", "commentlist", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "copyright", "disclaimer",
-    "disqus", "foot", "footer", "gdpr", "hidden", "login", "masthead", "menu", "menubar", "meta", "modal", "nav", "navbar", "navigation",
+    "comment", "commentlist", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "copyright", "disclaimer",
+    "disqus", "foot", "footer", "gdpr", "hidden", "login", "masthead", "menu", "menubar", "modal", "nav", "navbar", "navigation",
     "newsletter", "notice", "notification", "pager", "pagination", "popup", "privacy", "promo", "promoted", "promotion", "recommended",
     "related", "replies", "reply", "responses", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor",
-    "sponsored", "subscribe", "tags", "toolbar", "topbar", "widget", "dialog", "form",
+    "sponsored", "subscribe", "toolbar", "topbar", "widget", "dialog", "form",
 }
 MAIN = {"article", "main"}
 MAIN_WORDS = {"article", "articlebody", "content", "entry", "main", "post", "story", "body", "text"}
@@ -51,7 +51,7 @@ SURE = 10_000
 ADJACENT, SIBLING, SECTION = 60, 60, 30
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>?|[^<]+|<""", re.S)
-_NAMED = re.compile(r"""(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -83,11 +83,11 @@ def _flags(name: str, attributes: str, main: bool) -> tuple[bool, bool]:
     marked, content = name in ASIDE or (name == "header" and not main), name in MAIN
     if attributes and not attributes.isspace():
         whole_page = name in ("html", "body")
-        for key, *values in _NAMED.findall(attributes):
+        for key, *values in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), "".join(values)
             if key in ("class", "id", "role"):
                 words = set(_WORD.findall(_CAMEL.sub(r"\1 \2", value).lower()))
-                marked |= not whole_page and not words.isdisjoint(MARKED)
+                marked |= not whole_page and (not words.isdisjoint(MARKED) or ("header" in words and not main))
                 content |= not whole_page and not words.isdisjoint(MAIN_WORDS)
             elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or _HIDDEN.search(value):
                 marked = True
