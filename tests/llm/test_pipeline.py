@@ -46,6 +46,20 @@ def test_decisions_take_effect(results):
     assert set(MIX_LEVELS_SQL) == {"domain", "lang", "source"} and mixing.BUCKET
 
 
+def test_stages_take_odd_tables(spark, odd_texts):
+    own = " ".join(f"word{n}" for n in range(60))
+    texts = [*odd_texts, own, own, own + " and more", None]
+    rows = [(n if n % 5 else None, text, "en" if n % 2 else None, "s" if n % 3 else None, None, "r", n, "k") for n, text in enumerate(texts)]
+    names = "doc_id long, text string, lang string, source string, n_chars long, row string, place int, key string"
+    docs = spark.createDataFrame(rows, names)
+    for table in (docs, docs.limit(0)):
+        for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            after = written(stage(spark, table, SF_DIR), name)
+            assert after.count() <= 2 * table.count()
+            if number < len(corpus_pipeline.STAGES) - 1:
+                assert after.columns == docs.columns
+
+
 def test_run_gives_the_last_stage(spark, results):
     rows = corpus_pipeline.run(spark, SF_DIR)
     assert sorted(map(str, rows.collect())) == sorted(map(str, results[-1].collect()))

@@ -183,9 +183,13 @@ def one_of_each(
     """
     rows = _labelled(docs, id_col, text_col, shingle, max_distance, segments)
     first = rows.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("component")
-    kept = first.agg(F.min(F.struct("key", "check")).alias("kept")).select("kept.*").toDF("_key", "_check")
+    kept = first.agg(F.min(F.struct("key", "check")).alias("kept")).select("kept.*")
     text = F.coalesce(text_col, F.lit(""))
-    keyed = docs.withColumns({"_key": F.xxhash64(id_col, text), "_check": F.xxhash64(text, id_col)})
-    place = F.row_number().over(Window.partitionBy("_key", "_check").orderBy("_key"))
-    keyed = keyed.join(kept, ["_key", "_check"], "left_semi").withColumn("_place", place)
-    return keyed.where("_place = 1").select(*[F.col(f"`{name}`") for name in docs.columns])
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
+        F.xxhash64(id_col, text).alias("key"),
+        F.xxhash64(text, id_col).alias("check"),
+    )
+    place = F.row_number().over(Window.partitionBy("key", "check").orderBy("key"))
+    keyed = keyed.join(kept, ["key", "check"], "left_semi").withColumn("place", place)
+    return keyed.where("place = 1").select("row.*")
