@@ -1,5 +1,6 @@
 """Expressions for one row."""
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -35,18 +36,21 @@ def comma_long(column: Column) -> Column:
     return F.coalesce(F.trim(column).try_cast("bigint"), whole)
 
 
-def range_number(value: Column, cuts: Sequence) -> Column:
+def number_array(numbers: Sequence[float], dtype: str) -> Column:
+    """A constant array of many numbers, as one literal."""
+    return F.from_json(F.lit(json.dumps(list(numbers))), f"array<{dtype}>")
+
+
+def range_number(value: Column, cuts: Sequence[float], dtype: str) -> Column:
     """How many of the ascending ``cuts`` lie below ``value``, found in two steps of about their root."""
     cuts = list(cuts)
-    if not cuts:
-        return F.lit(0)
     step = max(1, round(len(cuts) ** 0.5))
 
     def below(found: Column) -> Column:
         return F.size(F.filter(found, lambda cut: cut < value))
 
-    coarse = F.greatest(below(F.array(*map(F.lit, cuts[::step]))) - 1, F.lit(0)) * step
-    return coarse + below(F.slice(F.array(*map(F.lit, cuts)), coarse + 1, step))
+    coarse = F.greatest(below(number_array(cuts[::step], dtype)) - 1, F.lit(0)) * step
+    return coarse + below(F.slice(number_array(cuts, dtype), coarse + 1, step))
 
 
 def comma_text(column: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from towerlens import fixed
-from towerlens.functions.columns import percent_slot, range_number
+from towerlens.functions.columns import number_array, percent_slot, range_number
 from towerlens.sources.workspace import written
 
 # Ranges of scores for each shuffle partition.
@@ -33,9 +33,9 @@ def roc_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> Da
     )
     merged = written(merged, "merged-scores")
     parts = RANGES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shares = [place / parts for place in range(1, parts)]
+    shares = number_array([place / parts for place in range(1, parts)], "double")
     cuts = merged.agg(F.percentile_approx("score", shares, 10 * parts).alias("cuts")).first().cuts
-    ranged = merged.withColumn("range", range_number(F.col("score"), sorted(set(cuts or []))))
+    ranged = merged.withColumn("range", range_number(F.col("score"), sorted(set(cuts or [])), "double"))
     ranges = ranged.groupBy(*by, "range").agg(F.sum("negative").alias("negative"))
     # One row per range and group.
     before = Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
