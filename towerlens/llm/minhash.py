@@ -8,6 +8,8 @@ ids follow one another in the order of their texts, null ids come first. Only th
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from towerlens.functions.columns import number_array, range_number
+
 SPACE = " \t\n\x0b\x0c\r"
 SHINGLE = 5
 # Bins, a power of two, and the low-order bits that are stored of each bin's least hash.
@@ -91,18 +93,10 @@ def _dealt(rows: DataFrame, id_col: str) -> DataFrame:
     """
     spark = rows.sparkSession
     parts = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shares = F.array(*[F.lit(part / parts) for part in range(1, parts)])
+    shares = number_array([part / parts for part in range(1, parts)], "double")
     cuts = rows.agg(F.percentile_approx(F.col(id_col).cast("long"), shares, F.lit(10 * parts)).alias("cuts")).first()["cuts"]
-    cuts = sorted(set(cuts or [0]))
-    step = max(1, round(len(cuts) ** 0.5))
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
-
-    def upto(array: Column) -> Column:
-        return F.size(F.filter(array, lambda cut: cut <= key))
-
-    coarse = F.greatest(upto(F.lit(cuts[::step]).cast("array<long>")) - 1, F.lit(0)) * step
-    place = coarse + upto(F.slice(F.lit(cuts).cast("array<long>"), coarse + 1, step))
-    ranged = rows.withColumn("_range", place)
+    ranged = rows.withColumn("_range", range_number(key, sorted({cut - 1 for cut in cuts or []}), "bigint"))
     firsts = ranged.groupBy("_range").agg(F.min(key).alias("first")).orderBy("_range").collect()
     lent = [(row["first"], firsts[i - 1]["_range"], int(i == 0)) for i, row in enumerate(firsts)]
     to = spark.createDataFrame(lent, "_first long, _to int, _to_lap int")
