@@ -36,6 +36,20 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def packed_texts(texts: list[bytes]) -> bytes:
+    """Texts as one compressed run of bytes behind their lengths."""
+    sizes = np.array([len(texts), *map(len, texts)], "<u4")
+    return zlib.compress(sizes.tobytes() + b"".join(texts), 1)
+
+
+def unpacked_texts(data: bytes) -> pa.StringArray:
+    raw = zlib.decompress(data)
+    n = int(np.frombuffer(raw, "<u4", 1)[0])
+    ends = np.cumsum(np.frombuffer(raw, "<u4", n, 4), dtype=np.int32)
+    offsets = np.concatenate([np.zeros(1, np.int32), ends])
+    return pa.StringArray.from_buffers(n, pa.py_buffer(offsets), pa.py_buffer(raw[4 * (n + 1) :]))
+
+
 class _Block:
     """Pieces are numbered as they come, so frequent ones get small numbers."""
 
@@ -58,13 +72,13 @@ class _Block:
         slices = np.fromiter(map(zlib.crc32, pieces), np.uint32, len(pieces)) % np.uint32(n_slices)
         order = np.argsort(slices, kind="stable")
         kinds, firsts = np.unique(slices[order], return_index=True)
-        offsets = pa.array(np.concatenate([[0, 0], firsts[1:], [len(pieces)]] if len(kinds) else [[0, 0]]).astype(np.int32))
-        texts = pa.array([pieces[place] for place in order.tolist()], pa.binary()).cast(pa.string())
+        ends = [*firsts[1:].tolist(), len(pieces)]
+        texts = [packed_texts([pieces[place] for place in order[a:b].tolist()]) for a, b in zip(firsts.tolist(), ends)]
         docs = [self.ids, self.n_bytes, self.sizes, packed([slices]), packed(self.places), packed(self.counts)]
         columns = [
             pa.array([number] * (len(kinds) + 1), pa.int64()),
             pa.array([-1, *kinds.tolist()], pa.int32()),
-            pa.ListArray.from_arrays(offsets, texts),
+            pa.array([None, *texts], pa.binary()),
             *[pa.array([value, *[None] * len(kinds)], kind) for value, kind in zip(docs, schema.types[3:])],
         ]
         return pa.RecordBatch.from_arrays(columns, schema=schema)
@@ -80,7 +94,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, cut: Callable[[bytes], l
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).cast("binary").alias("text"))
     kind = dict(slim.dtypes)["id"]
     schema = (
-        f"block long, slice int, pieces array<string>, ids array<{kind}>, n_bytes array<long>, sizes array<int>,"
+        f"block long, slice int, pieces binary, ids array<{kind}>, n_bytes array<long>, sizes array<int>,"
         " slices binary, places binary, counts binary"
     )
     id_type = slim.select("id").limit(0).toArrow().schema.field("id").type
@@ -88,7 +102,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, cut: Callable[[bytes], l
         [
             ("block", pa.int64()),
             ("slice", pa.int32()),
-            ("pieces", pa.list_(pa.string())),
+            ("pieces", pa.binary()),
             ("ids", pa.list_(id_type)),
             ("n_bytes", pa.list_(pa.int64())),
             ("sizes", pa.list_(pa.int32())),
@@ -127,10 +141,10 @@ def looked_up(table: DataFrame, find: Callable[[list[str]], dict[str, pa.Array]]
     """
 
     def found(group: pa.Table) -> pa.Table:
-        texts = group["pieces"].combine_chunks()
-        coded = texts.flatten().dictionary_encode()
+        texts = [unpacked_texts(data.as_py()) for data in group["pieces"]]
+        coded = pa.concat_arrays(texts).dictionary_encode()
         results = find(coded.dictionary.to_pylist())
-        ends = np.cumsum(np.diff(texts.offsets.to_numpy()))
+        ends = np.cumsum([len(one) for one in texts])
         columns = {"in_block": group["block"], "slice": group["slice"]}
         for name, values in results.items():
             whole = values.take(coded.indices)

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from towerlens.llm.blocks import blocks, by_place, looked_up, ranks, unpacked
+from towerlens.llm.blocks import blocks, by_place, looked_up, ranks, unpacked, unpacked_texts
 
 MARK = "▁"
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
@@ -67,7 +67,7 @@ def _joined(left: pa.Table, right: pa.Table) -> pa.Table:
     """The documents of one block with their ids and decoded texts."""
     slices = sorted(zip(left["slice"].to_pylist(), left["pieces"].to_pylist()))
     row = left.filter(pc.less(left["slice"], 0)).to_pylist()[0]
-    decoded = [" " + piece[1:].replace(MARK, " ") for number, pieces in slices if number >= 0 for piece in pieces]
+    decoded = [" " + piece[1:].replace(MARK, " ") for number, texts in slices if number >= 0 for piece in unpacked_texts(texts).to_pylist()]
     values, lengths = by_place(right, "ids"), by_place(right, "ids_sizes").astype(np.int64)
     others, widths = by_place(right, "other"), by_place(right, "other_sizes").astype(np.int64)
     for place, end in zip(np.flatnonzero(widths), np.cumsum(widths)[widths > 0]):
