@@ -15,7 +15,7 @@ from towerlens.sources.workspace import written
 
 WORD = r"[^\x20\x09-\x0D]+"
 # Documents in one bucket of an epoch's order, about; only a leaf's last bucket is put in order.
-BUCKET = 4096
+BUCKET = 512
 
 
 def _same(left: Sequence[str], right: Sequence[str]) -> Column:
