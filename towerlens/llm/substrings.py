@@ -207,13 +207,14 @@ def parsed(docs: DataFrame, text_col: str = "text", window: int = WINDOW, as_it_
         F.sum("copies").alias("n"), F.min("block").alias("least"), F.max("block").alias("most")
     )
     groups = groups.where("n > 1").select("anchor", (F.col("least") != F.col("most")).alias("several"))
-    repeated = written(index.join(groups, "anchor"), "repeated")
+    # Written, as the rows of a frequent key are split only in joins of plain exchanges.
+    repeated = written(index.join(written(groups, "anchors"), "anchor"), "repeated")
 
     # Anchors with several blocks: those that occur twice are factors as well, and one place offers their windows.
     several = repeated.where("several")
     place = F.xxhash64("key", "check", "at")
     alike = several.groupBy("anchor", "block").agg(F.sum("copies").alias("n"), F.min(place).alias("offering"))
-    several = several.join(alike, ["anchor", "block"])
+    several = several.join(written(alike, "alike"), ["anchor", "block"])
     status = (
         F.when(F.col("n") == 1, SINGLE).when(F.col("offering") == place, OFFERED).otherwise(FACTOR).alias("status")
     )
@@ -224,7 +225,7 @@ def parsed(docs: DataFrame, text_col: str = "text", window: int = WINDOW, as_it_
     schema = "key long, check long, start long, weight long, window long, other long"
     windows = written(asked.mapInArrow(_boundary_windows(window), schema), "windows")
     again = windows.groupBy("window", "other").agg(F.sum("weight").alias("n")).where("n > 1").drop("n")
-    matched = windows.where("weight = 1").join(again, ["window", "other"])
+    matched = windows.where("weight = 1").join(written(again, "again"), ["window", "other"])
 
     k = window // 2 + 1
     factors = repeated.where("not several").select("key", "check", "at")
