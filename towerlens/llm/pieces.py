@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from towerlens.llm.blocks import blocks, by_place, looked_up, ranks, unpacked, unpacked_texts
 
 MARK = "▁"
+# Chunks of text that are put together at a time.
+PART = 1 << 17
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -73,20 +75,25 @@ def _joined(left: pa.Table, right: pa.Table) -> pa.Table:
     for place, end in zip(np.flatnonzero(widths), np.cumsum(widths)[widths > 0]):
         decoded[place] = " " + "".join(map(chr, others[end - widths[place] + 1 : end].tolist()))
     firsts = np.cumsum(lengths) - lengths
-    places, at, found, texts = ranks(row["slices"])[unpacked(row["places"])], 0, [], []
-    for size in row["sizes"]:
-        here = places[at : at + size]
-        at += size
-        n = lengths[here]
-        ends = np.cumsum(n)
-        inside = np.arange(ends[-1] if size else 0) + np.repeat(firsts[here] - ends + n, n)
-        found.append(values[inside].astype(np.int32))
-        texts.append("".join([decoded[place] for place in here.tolist()])[1:])
-    flat = pa.array(np.concatenate([np.zeros(0, np.int32), *found]), pa.int32())
-    offsets = pa.array(np.concatenate([[0], np.cumsum([len(one) for one in found])]).astype(np.int32), pa.int32())
-    id_type = left.schema.field("ids").type.value_type
-    columns = [pa.array(row["ids"], id_type), pa.ListArray.from_arrays(offsets, flat), pa.array(texts, pa.string())]
-    return pa.table(columns, ["id", "ids", "decoded"])
+    places, rank, ids = unpacked(row["places"]), ranks(row["slices"]), pa.array(row["ids"], left.schema.field("ids").type.value_type)
+    ends = np.cumsum(row["sizes"], dtype=np.int64)
+    batches, done = [], 0
+    while done < len(ids):
+        # Some documents at a time, so that arrays stay small next to the block.
+        start = ends[done - 1] if done else 0
+        upto = max(done + 1, int(np.searchsorted(ends, start + PART)))
+        here = rank[places[start : ends[upto - 1]]]
+        sizes = lengths[here]
+        inside = np.cumsum(sizes)
+        flat = values[np.arange(sizes.sum()) + np.repeat(firsts[here] - inside + sizes, sizes)].astype(np.int32)
+        cuts = np.concatenate([[0], ends[done:upto] - start])
+        offsets = np.concatenate([[0], inside])[cuts].astype(np.int32)
+        listed = here.tolist()
+        texts = ["".join([decoded[place] for place in listed[a:b]])[1:] for a, b in zip(cuts, cuts[1:])]
+        columns = [ids[done:upto], pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(texts, pa.string())]
+        batches.append(pa.RecordBatch.from_arrays(columns, ["id", "ids", "decoded"]))
+        done = upto
+    return pa.Table.from_batches(batches)
 
 
 def encoded(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
