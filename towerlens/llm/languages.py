@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from towerlens.sources.workspace import written
+
 UNKNOWN = "und"
 # Hashed n-grams of letters, up to three, with one space between words.
 DIMENSIONS = 1 << 13
@@ -139,9 +141,14 @@ def learned(
     weights = (np.log((1 + n_docs) / (1 + seen)) + 1).astype(np.float32)
 
     keyed = rows.withColumn("key", F.xxhash64("text"))
+    # Hashes are spread evenly, so a few times the sample's share of them suffices to find the least.
+    sizes = written(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    share = F.least(F.lit(4.0 * sample) / F.col("n"), F.lit(1.0))
+    low = keyed.select("lang", "key").join(sizes, "lang").where(F.col("key") <= share * 2.0**64 - 2.0**63)
     place = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-    least = keyed.select("lang", "key").distinct().withColumn("place", place).where(F.col("place") <= sample)
-    chosen = keyed.join(least.select("lang", "key"), ["lang", "key"], "left_semi").dropDuplicates(["lang", "key"])
+    least = low.select("lang", "key").distinct().withColumn("place", place).where(F.col("place") <= sample)
+    least = written(least.select("lang", "key"), "sample")
+    chosen = keyed.join(least, ["lang", "key"], "left_semi").dropDuplicates(["lang", "key"])
     schema = "lang string, cluster int, centroid binary, limit double"
     centers = chosen.groupBy("lang").applyInArrow(_clustered(weights, clusters), schema)
     centers = sorted(centers.collect(), key=lambda row: (row["lang"], row["cluster"]))
