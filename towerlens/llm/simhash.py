@@ -44,15 +44,20 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int(ones.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``(id, key, check, fingerprint)`` of every row; ``key`` and ``check`` are hashes of the id and the text."""
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(id, key, check, text)`` of every row; ``key`` and ``check`` are hashes of the id and the text."""
     text = F.coalesce(text_col, F.lit(""))
-    slim = docs.select(
+    return docs.select(
         F.col(id_col).alias("id"),
         F.xxhash64(id_col, text).alias("key"),
         F.xxhash64(text, id_col).alias("check"),
         text.cast("binary").alias("text"),
     )
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """``(id, key, check, fingerprint)`` of every row; ``key`` and ``check`` are hashes of the id and the text."""
+    slim = keyed(docs, id_col, text_col)
     schema = f"id {dict(slim.dtypes)['id']}, key long, check long, fingerprint long"
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +186,11 @@ def one_of_each(
     It is the row of the least id; a null id comes after all others. Of several rows with that id, and of
     repeated rows, one stays.
     """
-    rows = _labelled(docs, id_col, text_col, shingle, max_distance, segments)
+    return first_of_each(docs, _labelled(docs, id_col, text_col, shingle, max_distance, segments), id_col, text_col)
+
+
+def first_of_each(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The row of ``docs`` whose id is ``component_id``, of each ``component`` of the labelled ``rows``."""
     first = rows.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("component")
     kept = first.agg(F.min(F.struct("key", "check")).alias("kept")).select("kept.*")
     text = F.coalesce(text_col, F.lit(""))
