@@ -1,5 +1,7 @@
 """Language identification by held-out accuracy."""
 
+import tempfile
+
 from pyspark.sql import functions as F
 
 from towerlens.llm import languages
@@ -42,3 +44,32 @@ def test_long_texts_are_counted_in_blocks(monkeypatch):
     whole = languages.counts(text, languages.letters())
     monkeypatch.setattr(languages, "BLOCK", 97)
     assert (languages.counts(text, languages.letters()) == whole).all()
+
+
+def test_copies_do_not_shrink_the_sample(spark, monkeypatch):
+    """The texts that are fitted are the distinct ones of least hash, however many copies there are."""
+    clustered = languages._clustered
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+    def seen(weights, clusters):
+        inner = clustered(weights, clusters)
+
+        def told(table):
+            lang, texts = table["lang"][0].as_py(), sorted(table["text"].to_pylist())
+            with open(f"{folder}/{lang}", "w") as out:
+                out.write("\n".join(texts))
+            return inner(table)
+
+        return told
+
+    monkeypatch.setattr(languages, "_clustered", seen)
+    rows = spark.range(30000)
+    few = rows.selectExpr("concat('der text ', char(97 + id % 25), ' und nicht') AS text", "'de' AS lang")
+    many = rows.selectExpr("concat('the text ', id % 700) AS text", "'en' AS lang")
+    docs = few.union(many)
+    model = languages.learned(docs, sample=50)
+    assert set(model.names) == {"de", "en"}
+    for lang, n in (("de", 25), ("en", 50)):
+        hashed = docs.where(F.col("lang") == lang).distinct().orderBy(F.xxhash64("text")).limit(n)
+        fitted = open(f"{folder}/{lang}").read().split("\n")
+        assert fitted == sorted(r.text for r in hashed.collect()) and len(fitted) == n

@@ -27,6 +27,8 @@ BLOCK = 1 << 18
 # taken from all documents that may be learned from.
 CLUSTERS = 4
 SAMPLE = 500
+# Slices of a language's texts, by hash, that are put in order separately before the least of all are taken.
+SLICES = 64
 ROUNDS = 12
 # A text farther from its centroid than the fitted documents' mean distance and so many deviations is rejected.
 DEVIATIONS = 4.0
@@ -128,7 +130,7 @@ def learned(
 ) -> Model:
     """Weights from all of ``docs`` and centroids from up to ``sample`` documents of each language.
 
-    The sample is the documents of least hash. What comes to the driver is one number per hashed n-gram and
+    The sample is the distinct texts of least hash. What comes to the driver is one number per hashed n-gram and
     ``clusters`` vectors per language.
     """
     text = F.coalesce(text_col, F.lit("")).alias("text")
@@ -141,12 +143,12 @@ def learned(
     weights = (np.log((1 + n_docs) / (1 + seen)) + 1).astype(np.float32)
 
     keyed = rows.withColumn("key", F.xxhash64("text"))
-    # Hashes are spread evenly, so a few times the sample's share of them suffices to find the least.
-    sizes = written(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
-    share = F.least(F.lit(4.0 * sample) / F.col("n"), F.lit(1.0))
-    low = keyed.select("lang", "key").join(sizes, "lang").where(F.col("key") <= share * 2.0**64 - 2.0**63)
+    # Copies are gone before places are given; each slice of a language finds its own least hashes first.
+    distinct = keyed.select("lang", "key").distinct().withColumn("slice", F.pmod("key", F.lit(SLICES)))
+    own = F.row_number().over(Window.partitionBy("lang", "slice").orderBy("key"))
+    low = distinct.withColumn("own", own).where(F.col("own") <= sample).select("lang", "key")
     place = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-    least = low.select("lang", "key").distinct().withColumn("place", place).where(F.col("place") <= sample)
+    least = low.withColumn("place", place).where(F.col("place") <= sample)
     least = written(least.select("lang", "key"), "sample")
     chosen = keyed.join(least, ["lang", "key"], "left_semi").dropDuplicates(["lang", "key"])
     schema = "lang string, cluster int, centroid binary, limit double"
