@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from towerlens.llm import near_copies, pieces, quality, substrings
+from towerlens.llm import pieces, quality, simhash, substrings
 from towerlens.llm.queries import mix
 from towerlens.sources.workspace import written
 
@@ -19,8 +19,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity of 0.8 or more."""
-    return near_copies.one_of_each(docs)
+    """One document of each group whose fingerprints of three-word shingles link at two or fewer differing bits."""
+    return simhash.one_of_each(docs, shingle=3, max_distance=2)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
