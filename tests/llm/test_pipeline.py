@@ -1,5 +1,9 @@
 """The stages one by one, and the whole."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as contract
@@ -46,6 +50,50 @@ def test_decisions_take_effect(results):
     assert set(MIX_LEVELS_SQL) == {"domain", "lang", "source"} and mixing.BUCKET
 
 
+def test_near_copies_meet_the_stage_rule_in_all_pairs(results):
+    """Brute force over all pairs of fingerprints of the stage's own input."""
+    prints = {r.id: r.fingerprint & (2**64 - 1) for r in simhash.fingerprints(results[1]).collect()}
+    group = {name: name for name in prints}
+
+    def root(name):
+        while group[name] != name:
+            name = group[name]
+        return name
+
+    names = sorted(prints)
+    for i, a in enumerate(names):
+        for b in names[i + 1 :]:
+            if (prints[a] ^ prints[b]).bit_count() <= 2:
+                low, high = sorted((root(a), root(b)))
+                group[high] = low
+    assert {r.doc_id for r in results[2].collect()} == {name for name in names if root(name) == name}
+
+
+WITHOUT_PACKAGE = """
+import sys
+sys.path.insert(0, {repo!r})
+import corpus_pipeline
+from pyspark.sql import SparkSession
+builder = SparkSession.builder.master("local[4]").config("spark.checkpoint.dir", {shared!r}).config("spark.ui.enabled", "false")
+spark = builder.config("spark.sql.shuffle.partitions", "4").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+def found(rows):
+    import importlib.util
+    yield importlib.util.find_spec("towerlens") is not None
+assert spark.sparkContext.parallelize([0], 1).mapPartitions(found).collect() == [False]
+print("ROWS", corpus_pipeline.run(spark, {sf_dir!r}).count())
+"""
+
+
+def test_workers_need_no_package(tmp_path, results):
+    """The whole pipeline in a session whose workers cannot import this library."""
+    repo = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+    script = tmp_path / "run.py"
+    script.write_text(WITHOUT_PACKAGE.format(repo=repo, shared=str(tmp_path / "shared"), sf_dir=SF_DIR))
+    env = {name: value for name, value in os.environ.items() if name != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert f"ROWS {results[-1].count()}" in done.stdout, done.stderr[-3000:]
+
+
 def test_stages_take_odd_tables(spark, odd_texts):
     own = " ".join(f"word{n}" for n in range(60))
     texts = [*odd_texts, own, own, own + " and more", None]

@@ -154,7 +154,9 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_dis
     labels = prints.join(found, prints["fingerprint"] == found["node"], "left").select(
         "fingerprint", "first_id", F.coalesce("component", "fingerprint").alias("component")
     )
-    firsts = labels.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    # Written, as the rows of a frequent component are split only in joins of plain exchanges.
+    labels = written(labels, "labels")
+    firsts = written(labels.groupBy("component").agg(F.min("first_id").alias("component_id")), "firsts")
     return rows.join(labels.join(firsts, "component").drop("first_id"), "fingerprint")
 
 
@@ -192,7 +194,7 @@ def one_of_each(
 def first_of_each(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The row of ``docs`` whose id is ``component_id``, of each ``component`` of the labelled ``rows``."""
     first = rows.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("component")
-    kept = first.agg(F.min(F.struct("key", "check")).alias("kept")).select("kept.*")
+    kept = written(first.agg(F.min(F.struct("key", "check")).alias("kept")).select("kept.*"), "kept")
     text = F.coalesce(text_col, F.lit(""))
     keyed = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
