@@ -116,5 +116,5 @@ def test_run_gives_the_last_stage(spark, results):
 def test_registered():
     names = set(contract.queries())
     assert "pipeline" in names
-    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 14)] == [1] * 13
     assert 4 <= len(corpus_pipeline.STAGES) <= 5

@@ -6,9 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from towerlens.llm import chats, html_text, languages, minhash, mixing, pieces, quality, simhash, substrings, token_counts
+from towerlens.llm import (
+    chats,
+    collocations,
+    html_text,
+    languages,
+    manifest,
+    minhash,
+    mixing,
+    nearest,
+    pieces,
+    quality,
+    simhash,
+    substrings,
+    token_counts,
+)
 
 TOKEN_LIMIT = 2048
+# The columns of a document that its leaf covers.
+MANIFEST = ["doc_id", "source", "lang", "n_chars", "text"]
 
 # The mix: documents have no domain of their own, so one is told from the last digit of the source's name.
 MIX_LEVELS_SQL = {
@@ -83,6 +99,27 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.top_phrases(_table(spark, sf_dir, "documents"))
+
+
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    # What a reader of the row would hash: half of the rows have lost the line ends of their text.
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(changed, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    seen = manifest.leaf([text if name == "text" else F.col(name) for name in MANIFEST])
+    rows = manifest.manifest(docs, MANIFEST, {"doc_id": F.col("doc_id"), "seen": seen})
+    rows = rows.withColumn("folded", manifest.folded(F.col("seen"), "path"))
+    digests = [manifest.hexed(name).alias(name) for name in ("leaf", "subroot", "root")]
+    ends = [manifest.hexed("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified")]
+    return rows.select("doc_id", *digests, manifest.proof("path").alias("proof_sha256"), *ends)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_substrings": op2_substrings,
@@ -94,6 +131,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_quality_rules": op9_quality_rules,
     "op10_fingerprints": op10_fingerprints,
+    "op11_collocations": op11_collocations,
+    "op12_nearest": op12_nearest,
+    "op13_manifest": op13_manifest,
 }
 
 ORACLES: dict[str, str] = {
@@ -101,4 +141,7 @@ ORACLES: dict[str, str] = {
     "op5_chats": chats.ORACLE,
     "op6_mixing": mixing.oracle(MIX_LEVELS_SQL, **MIX),
     "op9_quality_rules": quality.ORACLE,
+    "op11_collocations": collocations.ORACLE,
+    "op12_nearest": nearest.ORACLE,
+    "op13_manifest": manifest.ORACLE,
 }
