@@ -2,6 +2,8 @@
 
 import math
 import random
+from functools import reduce
+from operator import add
 
 import compare
 import numpy as np
@@ -23,7 +25,7 @@ def brute(rows, k=20):
         if name % 20 or (name, v.tobytes()) in seen:
             continue
         seen.add((name, v.tobytes()))
-        scores = sorted((-sum(float(a * b) for a, b in zip(v, w)), other) for other, w in kept if other != name)
+        scores = sorted((-reduce(add, [float(a * b) for a, b in zip(v, w)], 0.0), other) for other, w in kept if other != name)
         out += [(name, rank, other, -score) for rank, (score, other) in enumerate(scores[:k], 1)]
     return sorted(out)
 
