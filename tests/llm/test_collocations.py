@@ -55,7 +55,7 @@ def talk():
     return [(chance.choice(["en", "de", None, "und"]), text) for text in texts] + [("en", None), ("xx", ""), ("yy", "only these"), (None, ". , ;")]
 
 
-@pytest.mark.parametrize("block", [1, 300, 16 << 20])
+@pytest.mark.parametrize("block", [1, 300, 8 << 20])
 def test_equals_plain_counts(spark, talk, monkeypatch, block):
     monkeypatch.setattr(collocations, "BLOCK_BYTES", block)
     docs = spark.createDataFrame(talk, "lang string, text string")

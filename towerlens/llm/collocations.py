@@ -24,7 +24,7 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from towerlens.llm.places import placed
@@ -36,9 +36,11 @@ EXPLAINED = 50
 TOP = 2000
 SCALE = 1_000_000
 # Bytes of text whose n-grams are counted together.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 # Rows that a task hands back at a time.
 BATCH = 1 << 16
+# Between a word and its number of times; no word holds it.
+TIMES = "\t"
 BREAK = b"."
 _PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + BREAK * 9)
 
@@ -57,26 +59,33 @@ class _Block:
         self.parts.append(np.fromiter(map(self.index.__getitem__, words), np.int32, len(words)))
         self.size += len(text) + 1
 
-    def counted(self, longest: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
-        """Distinct n-grams, shortest first, joined by spaces, and how often each occurs."""
+    def counted(self, longest: int) -> Iterator[tuple[pa.Array, np.ndarray, pa.Array | None]]:
+        """Distinct n-grams of fewer than ``longest`` words, joined by spaces, and how often each occurs.
+
+        The longest n-grams stand beside the one that they extend, as the words that follow it; a number of times
+        other than one is behind the word.
+        """
         words = np.concatenate(self.parts).astype(np.int64)
         names = pa.array(list(self.index), pa.binary()).cast(pa.string())
-        yield pa.array([""], pa.string()), np.array([np.count_nonzero(words)])
+        yield pa.array([""], pa.string()), np.array([np.count_nonzero(words)]), None
         kinds = len(names)
-        found = np.bincount(words, minlength=kinds)[1:]
-        yield names[1:], found
         # The number of the n-gram that starts at each place, or -1; for single words, one less than the word's.
-        starts, grams = words - 1, names[1:]
-        for _ in range(2, longest + 1):
+        starts, grams, found = words - 1, names[1:], np.bincount(words, minlength=kinds)[1:]
+        for n in range(2, longest + 1):
             starts, ends = starts[:-1], words[len(words) - len(starts) + 1 :]
             whole = np.flatnonzero((starts >= 0) & (ends > 0))
-            distinct, number, found = np.unique(starts[whole] * kinds + ends[whole], return_inverse=True, return_counts=True)
-            if not len(distinct):
+            distinct, number, times = np.unique(starts[whole] * kinds + ends[whole], return_inverse=True, return_counts=True)
+            first, last = distinct // kinds, names.take(pa.array(distinct % kinds))
+            if n == longest:
+                often = pc.binary_join_element_wise(last, pa.array(times).cast(pa.string()), TIMES)
+                last = pc.if_else(pa.array(times > 1), often, last)
+                cuts = np.searchsorted(first, np.arange(len(grams) + 1)).astype(np.int32)
+                yield grams, found, pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts), last), " ")
                 return
-            grams = pc.binary_join_element_wise(grams.take(pa.array(distinct // kinds)), names.take(pa.array(distinct % kinds)), " ")
+            yield grams, found, None
+            grams, found = pc.binary_join_element_wise(grams.take(pa.array(first)), last, " "), times
             starts = np.full(len(starts), -1)
             starts[whole] = number.ravel()
-            yield grams, found
 
 
 def _count(longest: int):
@@ -84,9 +93,10 @@ def _count(longest: int):
 
     def rows(blocks: dict[str, _Block]) -> Iterator[pa.RecordBatch]:
         for lang, block in blocks.items():
-            for grams, found in block.counted(longest):
+            for grams, found, further in block.counted(longest):
                 langs = pa.repeat(pa.scalar(lang, pa.string()), len(grams))
-                batch = pa.RecordBatch.from_arrays([langs, grams, pa.array(found, pa.int64())], ["lang", "phrase", "f"])
+                further = pa.nulls(len(grams), pa.string()) if further is None else further
+                batch = pa.RecordBatch.from_arrays([langs, grams, pa.array(found, pa.int64()), further], ["lang", "phrase", "f", "further"])
                 for at in range(0, len(grams), BATCH):
                     yield batch.slice(at, BATCH)
 
@@ -108,12 +118,27 @@ def _count(longest: int):
 def counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``(lang, words, n, f)``: n-grams of up to ``longest`` words that occur ``least`` times or more in a language.
 
-    An entry of no words has the number of all words of its language.
+    An entry of no words has the number of all words of its language. Blocks of text count their own n-grams, so a
+    phrase has one row for each block. As none is more frequent than its first words, the longest n-grams travel with
+    those, in the same shuffle, and are only taken apart where these are frequent enough.
     """
+    if longest < 2:
+        raise ValueError("phrases have two words or more")
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(text_col, F.lit("")).cast("binary").alias("text"))
-    found = texts.mapInArrow(_count(longest), "lang string, phrase string, f long")
-    found = found.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.col("phrase") == ""))
+    found = texts.mapInArrow(_count(longest), "lang string, phrase string, f long, further string")
+    every = F.sum("f").over(Window.partitionBy("lang", "phrase"))
+    found = found.withColumn("every", every).where((F.col("every") >= least) | (F.col("phrase") == ""))
+
+    def extension(one: Column) -> Column:
+        times = F.coalesce(F.get(F.split(one, TIMES), F.lit(1)).try_cast("bigint"), F.lit(1))
+        return F.struct(F.substring_index(one, TIMES, 1).alias("word"), times.alias("f"))
+
+    further = F.when(F.col("further") != "", F.transform(F.split("further", " "), extension))
+    own = F.array(F.struct(F.lit("").alias("word"), F.col("f").alias("f")))
+    found = found.select("lang", "phrase", F.inline(F.concat(own, F.coalesce(further, F.array().cast("array<struct<word:string,f:bigint>>")))))
+    found = found.groupBy("lang", "phrase", "word").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.col("phrase") == ""))
     words = F.when(F.col("phrase") == "", F.array().cast("array<string>")).otherwise(F.split("phrase", " "))
+    words = F.when(F.col("word") == "", words).otherwise(F.array_append(words, F.col("word")))
     return found.select("lang", words.alias("words"), "f").select("lang", "words", F.size("words").alias("n"), "f")
 
 
