@@ -5,6 +5,7 @@ from collections import Counter
 
 import compare
 import pytest
+from pyspark.sql import functions as F
 
 from towerlens.llm import quality
 
@@ -47,6 +48,24 @@ def test_thresholds_follow_language_and_source(spark):
     assert len(found) == len(rows)
 
 
+def test_no_switch_between_sizes(spark):
+    """The verdicts on a source of symbols don't flip as it grows from 99 to 100 documents, nor by any one document."""
+
+    def rows(n):
+        plain = [(place, " ".join(f"w{place}x{i}" for i in range(40)), "en", "plain") for place in range(300)]
+        return plain + [(1000 + place, " ".join(f"w{place}x{i}" + "%" * (i < 8) for i in range(40)), "en", "marks") for place in range(n)]
+
+    cuts, kept = [], []
+    for n in (99, 100, 101):
+        docs = spark.createDataFrame(rows(n), "doc_id long, text string, lang string, source string")
+        found = quality.verdicts(docs).where("doc_id >= 1000").collect()
+        kept.append({r.kept for r in found})
+        measured = quality._measured(docs.select(F.struct("doc_id").alias("row"), "lang", "source", "text"))
+        cuts.append(quality.thresholds(measured).where("source = 'marks'").first().cut)
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 1
+    assert all(abs(a - b) <= 2 for one, other in zip(cuts, cuts[1:]) for a, b in zip(one, other))
+
+
 def test_sketches_are_bounded_and_merge(spark):
     rows = spark.range(0, 100_000).selectExpr("id % 3 as g", "id as v")
     fine = quality.sketch(rows, ["g"], "v")

@@ -15,8 +15,9 @@ WINDOW = 8
 # Base rules: fewest words, and the most words in repeated windows, per cent.
 LEAST_WORDS = 20
 MOST_REPEATED = 30
-# A sketch of fewer documents lends its thresholds from the merged sketch of its language, then from that of all.
-LEAST_DOCS = 100
+# A group's thresholds are averaged with those of its language, which count as much as so many of its documents; a
+# language's likewise with those of all.
+PRIOR_DOCS = 100
 # Spreads above the third quartile that are still accepted.
 SPREADS = 3
 # Measures, each a whole number, and the least spread assumed for each.
@@ -129,7 +130,8 @@ def _cuts(sketches: DataFrame, keys: list[str]) -> DataFrame:
 def thresholds(measured: DataFrame) -> DataFrame:
     """The greatest accepted value of each measure per ``lang`` and ``source``, over documents that pass the base rules.
 
-    A group of fewer than LEAST_DOCS documents takes those of its language, a small language those of all.
+    A group of n documents has the mean, in whole numbers, of its own and of its language's with weights n and
+    PRIOR_DOCS, and so has a language with those of all. So they move gradually with the group's size.
     """
     named = [F.struct(F.lit(name).alias("measure"), value.alias("value")) for name, value in zip(MEASURES, _measures())]
     values = measured.where(~F.col("base_failed")).select("lang", "source", F.explode(F.array(*named)).alias("m"))
@@ -145,12 +147,13 @@ def thresholds(measured: DataFrame) -> DataFrame:
     language = levels[1][0].select(F.col("lang").alias("_lang"), F.struct("docs", *MEASURES).alias("language"))
     every = levels[2][0].select(F.struct("docs", *MEASURES)).scalar()
     rows = rows.join(language, F.col("lang").eqNullSafe(F.col("_lang")))
-    chosen = (
-        F.when(F.col("own.docs") >= LEAST_DOCS, F.col("own"))
-        .when(F.col("language.docs") >= LEAST_DOCS, F.col("language"))
-        .otherwise(every)
-    )
-    return rows.select("lang", "source", chosen.alias("cut"))
+    # One row, with a number for each measure.
+    rows = rows.withColumn("every", every)
+    cuts = []
+    for name in MEASURES:
+        language = f"(language.docs * language.{name} + {PRIOR_DOCS} * every.{name}) div (language.docs + {PRIOR_DOCS})"
+        cuts.append(F.expr(f"(own.docs * own.{name} + {PRIOR_DOCS} * ({language})) div (own.docs + {PRIOR_DOCS})").alias(name))
+    return rows.select("lang", "source", F.struct(*cuts).alias("cut"))
 
 
 def _judged(docs: DataFrame, carried: list[str], text_col: str, lang_col: str, source_col: str) -> DataFrame:
@@ -240,7 +243,7 @@ WITH rows AS (
   FROM cuts
 ), chosen AS (
   SELECT g.lang, g.source, g.measure,
-    CASE WHEN g.docs >= {LEAST_DOCS} THEN g.cut WHEN l.docs >= {LEAST_DOCS} THEN l.cut ELSE e.cut END AS cut
+    (g.docs * g.cut + {PRIOR_DOCS} * ((l.docs * l.cut + {PRIOR_DOCS} * e.cut) // (l.docs + {PRIOR_DOCS}))) // (g.docs + {PRIOR_DOCS}) AS cut
   FROM limits g
   JOIN limits l ON l.level = 1 AND l.measure = g.measure AND l.lang IS NOT DISTINCT FROM g.lang
   JOIN limits e ON e.level = 2 AND e.measure = g.measure
