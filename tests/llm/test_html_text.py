@@ -2,9 +2,12 @@
 
 import itertools
 import random
+import time
+
+import pytest
 
 from towerlens.llm.flow import least_cut
-from towerlens.llm.html_text import extracted, main_text
+from towerlens.llm.html_text import blocks, extracted, main_text
 from towerlens.llm.queries import op8_main_text
 
 
@@ -49,6 +52,53 @@ def test_marks_are_read_from_attributes_only():
     assert main_text(page) == "One paragraph of text.\nTitle\nA picture of it."
 
 
+BODY = "<h1>Title of it</h1><p>The first paragraph has quite a few words in it.</p><p>The second one has a few more words, all the same.</p><p>Third, <b>short</b>.</p><p>The fourth ends the article with some words.</p>"
+LINES = ["Title of it", "The first paragraph has quite a few words in it.", "The second one has a few more words, all the same.", "Third, short.", "The fourth ends the article with some words."]
+MENU = "<nav><a href=1>One</a> <a href=2>Two</a></nav>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>T</title><meta charset=utf-8><body>{MENU}<article>{BODY}</article></body></html>",
+        f"<title>T</title>{MENU}<article>{BODY}</article>",
+        f"<html><body><form id='aspnetForm' action='x'>{MENU}<article>{BODY}</article></form>",
+        f"<form id='aspnetForm'>{MENU}<div>{BODY}</div></form>",
+        f"<body>{MENU}<div class='content with-sidebar'>{BODY}</div><div class='sidebar'><p>Some teaser text of another article.</p></div>",
+        f"<article class='post no-comments'>{BODY}</article><footer>Copyright by us, all rights reserved.</footer>",
+        f"<div id='story-share-page'>{BODY}<div class='share'>Share this story with all your friends now.</div></div>",
+        f"<article><svg viewBox='0 0 1 1'>{BODY}</article>",
+        f"<article><video src=x>{BODY}</article>",
+        f"<article><object data=x><p>Fallback text that nobody sees here.</p></object>{BODY}<svg><text>Drawn words.</text></svg></article>",
+        f"<article>{BODY}</article><section class='comments'><article><p>A reader's long comment on the article, with many words in it.</p></article></section>",
+        f"<main><!-- {BODY} --><a b='>' c=\">\"></a>{BODY}</main>",
+    ],
+)
+def test_ordinary_pages(page):
+    assert main_text(page).split("\n") == LINES
+
+
+def test_lists_of_links_and_formulas_in_an_article():
+    page = f"{MENU}<article><h1>Ten pages to read</h1><ul><li><a href=1>The first page</a></li><li><a href=2>The second page</a></li></ul>"
+    page += "<p>Where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds for all of them.</p></article>"
+    assert main_text(page).split("\n") == ["Ten pages to read", "The first page", "The second page", "Where x=2 holds for all of them."]
+
+
+@pytest.mark.parametrize(
+    "piece", ["<a x", "<a x='", '<a x="', "<a x='>", "<a '\">", "<", "<!--", "</p", "<svg>", "<div>", "<li>", "<h1><li>", "<div></x>", "</div>", "<p>a", "<form><p>word "]
+)
+def test_long_odd_pages_take_little_time(piece):
+    page = piece * ((1 << 20) // len(piece))
+    start = time.perf_counter()
+    blocks(page)
+    long = time.perf_counter() - start
+    assert long < 15, long
+    start = time.perf_counter()
+    blocks(page[: len(page) // 4])
+    # In proportion to the length, give or take what runs beside the test.
+    assert long < 0.5 + 12 * (time.perf_counter() - start)
+
+
 def test_odd_pages(spark):
     odd = [None, "", " \n ", "<", "<p", "<!--", "<script>x", "</p></div>", "<p>" * 3000 + "x", "<div>" * 3000 + "<p>deep text here.", PAGE, PAGE]
     pages = spark.createDataFrame([(place, "u", html) for place, html in enumerate(odd)], "page_id long, text string, html string")

@@ -5,11 +5,17 @@ capacities to source and sink; blocks that follow each other, and more so within
 joined by edges that cost if labels differ. Maximum flow finds the labels of least total cost, so a short line
 amid paragraphs stays with them and one in a menu goes.
 
-Defined results: null or empty html gives an empty text; markup that isn't closed ends with the page; repeated
-rows each get their row; an empty table gives no rows. The caller's columns travel in a struct.
+Words of class, id and role that mark boilerplate are costs as well. A mark of an element that holds nearly all of
+the page's content, as of a form around the whole page, says nothing about it and costs nothing.
+
+Defined results: null or empty html gives an empty text; elements that aren't closed end with the page, but scripts
+and the like that aren't closed are taken for a lone tag, and a lone ``<`` for text; repeated rows each get their row;
+an empty table gives no rows. Pages are read in time in proportion to their length. The caller's columns travel in
+a struct.
 """
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -21,12 +27,18 @@ from pyspark.sql import functions as F
 from towerlens.llm.flow import least_cut
 
 # Elements of HTML by how they lay out text.
-RAW = {"script", "style", "template", "noscript", "iframe", "textarea", "title", "svg", "math", "object", "canvas", "audio", "video", "noembed", "noframes", "xmp"}
+# Elements whose content is no markup, and others whose content isn't shown as text.
+RAW = {"script", "style", "textarea", "title", "iframe", "noembed", "noframes", "xmp"}
+UNSEEN = {"template", "noscript", "svg", "object", "canvas", "audio", "video"}
+# What may stand in the head; anything else ends it.
+IN_HEAD = {"base", "link", "meta", "script", "style", "title", "template", "noscript", "object", "html", "head"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label",
     "mark", "q", "rb", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
     "wbr", "img", "br", "input", "embed",
+    "math", "mrow", "mi", "mn", "mo", "ms", "mtext", "mfrac", "msqrt", "mroot", "msub", "msup", "msubsup", "munder", "mover", "munderover",
+    "mstyle", "mspace", "mpadded", "mphantom", "merror", "mtable", "mtr", "mtd", "semantics",
 }
 # A start tag that closes an open element of these kinds.
 CLOSES = {
@@ -46,11 +58,13 @@ MARKED = {
 }
 MAIN = {"article", "main"}
 MAIN_WORDS = {"article", "articlebody", "content", "entry", "main", "post", "story", "body", "text"}
-# Costs in hundredths. A marked block can't be won over by its neighbours.
-SURE = 10_000
+# Costs in hundredths. A mark weighs more than what a block's own text and neighbours usually say for it.
+MARK = 1000
+# An element with this share of the page's content, per cent, is no boilerplate for what its names say.
+WHOLE = 90
 ADJACENT, SIBLING, SECTION = 60, 60, 30
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>?|[^<]+|<""", re.S)
+_NAME = re.compile(r"(/?)([A-Za-z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
@@ -61,23 +75,98 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 class _Element:
     name: str
     number: int
+    parent: int
     marked: bool
     main: bool
 
 
 @dataclass
 class Block:
-    """Text between two block boundaries, and where it stands."""
+    """Text between two block boundaries, and where it stands; ``marked`` is settled when the page has been read."""
 
     name: str
     parent: int
     section: int
-    marked: bool
     main: bool
+    marked: bool = False
     text: list[str] = field(default_factory=list)
     linked: int = 0
 
 
+class _Tokens:
+    """The page's tags and texts in one pass: ``(text, closing, name, attributes)``, of which text or name is empty.
+
+    What has been looked for in vain to the page's end isn't looked for again.
+    """
+
+    def __init__(self, html: str) -> None:
+        self.html, self.at = html, 0
+        # From where on there is none of it.
+        self.missing: dict[str, int] = {}
+
+    def find(self, what: str, at: int) -> int:
+        """Place of the next ``what``, or -1."""
+        found = -1 if at >= self.missing.get(what, len(self.html)) else self.html.find(what, at)
+        if found < 0:
+            self.missing[what] = min(at, self.missing.get(what, at))
+        return found
+
+    def end_of_tag(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag, past quoted values; of the first one if a quote isn't closed."""
+        first = end = self.find(">", at)
+        while end >= 0:
+            quote = min((place for place in (self.html.find(mark, at, end) for mark in "\"'") if place >= 0), default=-1)
+            if quote < 0:
+                return end
+            close = self.find(self.html[quote], quote + 1)
+            if close < 0:
+                return first
+            at = close + 1
+            end = end if end > close else self.find(">", at)
+        return first
+
+    def skip(self, name: str) -> bool:
+        """Goes behind the end tag of an element whose content is no text, if it has one."""
+        if name in self.missing:
+            return False
+        end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(self.html, self.at)
+        if end is None:
+            self.missing[name] = self.at
+            return False
+        close = self.find(">", end.end())
+        self.at = close + 1 if close >= 0 else len(self.html)
+        return True
+
+    def __iter__(self) -> Iterator[tuple[str, bool, str, str]]:
+        html = self.html
+        while self.at < len(html):
+            at = self.at
+            if html[at] != "<":
+                end = self.find("<", at)
+                self.at = end if end >= 0 else len(html)
+                yield html[at : self.at], False, "", ""
+                continue
+            name = _NAME.match(html, at + 1)
+            if name is None:
+                if html.startswith("<!--", at):
+                    end = self.find("-->", at + 4)
+                    self.at = end + 3 if end >= 0 else len(html)
+                elif html[at + 1 : at + 2] in ("!", "?", "/"):
+                    end = self.find(">", at)
+                    self.at = end + 1 if end >= 0 else len(html)
+                else:
+                    self.at = at + 1
+                    yield "<", False, "", ""
+                continue
+            end = self.end_of_tag(name.end())
+            if end < 0:
+                self.at = at + 1
+                yield "<", False, "", ""
+                continue
+            self.at = end + 1
+            yield "", bool(name[1]), name[2].lower(), html[name.end() : end]
+
+
 def _flags(name: str, attributes: str, main: bool) -> tuple[bool, bool]:
     """Whether an element marks boilerplate, and whether it marks content."""
     marked, content = name in ASIDE or (name == "header" and not main), name in MAIN
@@ -97,60 +186,84 @@ def _flags(name: str, attributes: str, main: bool) -> tuple[bool, bool]:
 def blocks(html: str) -> list[Block]:
     """The page's blocks of text, in order; text of scripts, styles and the like isn't in any."""
     found: list[Block] = []
-    stack, made, current, link, at = [_Element("", 0, False, False)], 0, None, 0, 0
-    while match := _TOKEN.match(html, at):
-        at = match.end()
-        name = match[2]
-        if name is None:
-            piece = match[0]
-            if piece[0] == "<" and len(piece) > 1:
-                continue
+    elements = [_Element("", 0, 0, False, False)]
+    stack, open_names, current, link = [elements[0]], Counter(), None, 0
+    tokens = _Tokens(html)
+
+    def close(depth: int) -> None:
+        open_names.subtract(element.name for element in stack[depth:])
+        del stack[depth:]
+
+    for piece, closing, name, attributes in tokens:
+        if not name:
             if current is None:
                 if piece.isspace():
                     continue
+                if stack[-1].name == "head":
+                    close(len(stack) - 1)
                 top = stack[-1]
-                section = stack[-2].number if len(stack) > 1 else 0
-                current = Block(top.name, top.number, section, top.marked, top.main)
+                current = Block(top.name, top.number, stack[-2].number if len(stack) > 1 else 0, top.main)
                 found.append(current)
             current.text.append(piece)
             current.linked += len(piece) * (link > 0)
             continue
-        name = name.lower()
-        if name in RAW:
-            if not match[1] and not match[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
-                at = end.end() if end else len(html)
+        if name in RAW or name in UNSEEN:
+            if not closing and not attributes.endswith("/"):
+                tokens.skip(name)
             continue
         if name == "a":
-            link = 0 if match[1] else 1
+            link = 0 if closing else 1
         if name in INLINE:
             if name == "br" and current is not None:
                 current.text.append(" ")
             continue
         current, link = None, 0
-        if match[1]:
+        if closing:
+            if open_names[name] > 0:
+                close(max(depth for depth in range(len(stack)) if stack[depth].name == name))
+            continue
+        if stack[-1].name == "p" or (stack[-1].name == "head" and name not in IN_HEAD):
+            close(len(stack) - 1)
+        closes = CLOSES.get(name, ())
+        if any(open_names[one] > 0 for one in closes):
             for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].name == name:
-                    del stack[depth:]
+                if stack[depth].name in closes:
+                    close(depth)
                     break
-            continue
-        if stack[-1].name == "p":
-            stack.pop()
-        closing = CLOSES.get(name, ())
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].name in closing:
-                del stack[depth:]
-                break
-            if stack[depth].name in SCOPES:
-                break
-        if name not in VOID and not match[3].endswith("/"):
-            made += 1
+                if stack[depth].name in SCOPES:
+                    break
+        if name not in VOID and not attributes.endswith("/"):
             top = stack[-1]
-            marked, main = _flags(name, match[3], top.main)
-            stack.append(_Element(name, made, top.marked or marked, top.main or main))
+            marked, main = _flags(name, attributes, top.main)
+            elements.append(_Element(name, len(elements), top.number, marked, top.main or main))
+            stack.append(elements[-1])
+            open_names[name] += 1
+    _settle(found, elements)
     return found
 
 
+def _settle(found: list[Block], elements: list[_Element]) -> None:
+    """Marks the blocks below a marked element, unless that element holds nearly all of the page's content.
+
+    Content is counted in words of blocks that aren't mostly links: of the blocks in elements named as main, or of all blocks where
+    there are none. An element comes after its parent, so sums go up and marks go down in one pass each.
+    """
+    words = [sum(map(len, map(str.split, block.text))) if 2 * block.linked <= sum(map(len, block.text)) else 0 for block in found]
+    only_main = any(count for block, count in zip(found, words) if block.main)
+    held = [0] * len(elements)
+    for block, count in zip(found, words):
+        if block.main or not only_main:
+            held[block.parent] += count
+    for element in reversed(elements[1:]):
+        held[element.parent] += held[element.number]
+    below = [False] * len(elements)
+    for element in elements[1:]:
+        wrapper = held[0] and 100 * held[element.number] >= WHOLE * held[0]
+        below[element.number] = below[element.parent] or (element.marked and not wrapper)
+    for block in found:
+        block.marked = below[block.parent]
+
+
 def clean(block: Block) -> str:
     text = "".join(block.text)
     return " ".join((unescape(text) if "&" in text else text).split())
@@ -158,13 +271,13 @@ def clean(block: Block) -> str:
 
 def excess(block: Block, text: str) -> int:
     """Cost of calling the block boilerplate less that of calling it content."""
-    if block.marked:
-        return -SURE
     words = text.count(" ") + 1
     score = -60 + 12 * min(words, 30) + 200 * block.main
     score += 60 * (block.name == "p") + 80 * (block.name in ("h1", "h2", "h3", "h4", "h5", "h6"))
     score += 40 * (text[-1:] in ".!?:;\"')")
-    return int(score - 500 * block.linked / max(1, sum(map(len, block.text))) * (words < 30 or not block.main))
+    score -= MARK * block.marked
+    # A link says little inside the main element, where lists of them may be what the page is about.
+    return int(score - (100 if block.main else 500) * block.linked / max(1, sum(map(len, block.text))) * (words < 30 or not block.main))
 
 
 def main_text(html: str) -> str:
