@@ -9,6 +9,8 @@ twice; an empty table gives no rows. Only the four named columns are read.
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from towerlens.sources.workspace import written
+
 TURN = "<|im_start|>%s\n%s<|im_end|>\n"
 
 
@@ -50,13 +52,13 @@ def rendered(
     turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text"
 ) -> DataFrame:
     """``(id, n_turns, n_copies, text)`` of every maximal conversation; ``text`` is its turns in chat markup."""
-    hashed = prefixes(turns, id_col, turn_col, role_col, text_col)
-    kept = maximal(hashed).withColumnRenamed("id", "kept_id")
+    hashed = written(prefixes(turns, id_col, turn_col, role_col, text_col), "prefixes")
+    kept = written(maximal(hashed), "maximal").withColumnRenamed("id", "kept_id")
+    # Only the turns of conversations that stay are gathered and rendered.
+    said = hashed.select("id", "place", "role", "text").join(kept, F.col("id").eqNullSafe(F.col("kept_id")))
     turn = F.struct("place", F.format_string(TURN, F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))).alias("turn"))
-    texts = hashed.select("id", turn.alias("said")).groupBy("id").agg(F.sort_array(F.collect_list("said")).alias("said"))
-    texts = texts.select("id", F.array_join(F.col("said.turn"), "").alias("text"))
-    rows = kept.join(texts, F.col("id").eqNullSafe(F.col("kept_id")))
-    return rows.select(F.col("id").alias(id_col), "n_turns", "n_copies", "text")
+    rows = said.groupBy("id", "n_turns", "n_copies").agg(F.sort_array(F.collect_list(turn)).alias("said"))
+    return rows.select(F.col("id").alias(id_col), "n_turns", "n_copies", F.array_join(F.col("said.turn"), "").alias("text"))
 
 
 ORACLE = """

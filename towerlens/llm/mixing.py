@@ -34,10 +34,11 @@ def shared_out(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
 
     Siblings share by weight. A node that can't use its share takes its capacity, and what it leaves goes to its
     siblings by their weights, over and over; in closed form, siblings in order of capacity per weight are
-    full up to the first whose share of what the ones before it leave is less than its capacity. The order
-    of nodes is by whole numbers, and fractions of a token are dropped.
+    full up to the first whose share of what the ones before it leave is less than its capacity. Capacities
+    per weight are compared to 13 places, and fractions of a token are dropped. Nodes of weight 0 have no capacity.
     """
-    order = Window.partitionBy(*parent).orderBy(F.col("capacity") / F.col("weight"), F.asc_nulls_first(name))
+    per_weight = F.try_divide(F.col("capacity").cast("decimal(20,0)"), F.col("weight").cast("decimal(12,0)"))
+    order = Window.partitionBy(*parent).orderBy(per_weight, F.asc_nulls_first(name))
     before = F.coalesce(F.sum("capacity").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     after = F.sum("weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     siblings = Window.partitionBy(*parent)
@@ -67,9 +68,13 @@ def budgets(
 
     The whole budget is the fraction ``share`` of all tokens, and a leaf may be read ``epochs`` times. Budgets go
     down level by level. A node's capacity is that of the leaves below it, so a shortage is made up by siblings
-    first and reaches an ancestor's siblings only where a whole subtree is used up.
+    first and reaches an ancestor's siblings only where a whole subtree is used up. A leaf has no capacity, and so
+    no budget, if it or anything above it has weight 0.
     """
-    leaves = supplies.withColumn("capacity", F.col("supply") * epochs)
+    wanted = F.lit(True)
+    for level in levels:
+        wanted = wanted & (_weight(level, weights) > 0)
+    leaves = supplies.withColumn("capacity", F.when(wanted, F.col("supply") * epochs).otherwise(0))
     total = leaves.agg(
         F.least(F.expr(f"CAST(sum(supply) * {share[0]} div {share[1]} AS BIGINT)"), F.sum("capacity")).alias("budget")
     ).scalar()
