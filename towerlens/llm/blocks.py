@@ -2,8 +2,9 @@
 
 A block holds some megabytes of text: every distinct piece once, and per document the places of its pieces in
 that dictionary. Only the dictionaries meet over the whole corpus, a small part of the text: each is dealt out by
-the hash of its pieces, so that equal pieces of all blocks come together and are looked at once, and what is
-found goes back to the blocks. Blocks and slices have a bounded size, so no task gathers more than one.
+the hash of its pieces into slices, so that equal pieces of all blocks come together, and what is found goes back
+to the blocks. A slice is read as a stream of rows, one from each block, and looked at a batch at a time, so no task
+holds more than a batch of slices, or the slices of one block, whatever the number of blocks.
 """
 
 import zlib
@@ -134,30 +135,34 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, cut: Callable[[bytes], l
 
 
 def looked_up(table: DataFrame, find: Callable[[list[str]], dict[str, pa.Array]], schema: str) -> DataFrame:
-    """``find`` applied once to every distinct piece; ``(in_block, slice)`` with a packed column for each result.
+    """``find`` applied to every distinct piece; ``(in_block, slice)`` with a packed column for each result.
 
     ``find`` returns columns of whole numbers, one for each piece; a column of lists comes back as two, sizes and
-    values. A slice of all blocks, by the hash of the pieces, is what meets in one group.
+    values. Rows of one slice, by the hash of the pieces, follow each other, and a piece is looked at once for all blocks
+    in a batch of Spark's (ten thousand rows by default).
     """
 
-    def found(group: pa.Table) -> pa.Table:
-        texts = [unpacked_texts(data.as_py()) for data in group["pieces"]]
-        coded = pa.concat_arrays(texts).dictionary_encode()
-        results = find(coded.dictionary.to_pylist())
-        ends = np.cumsum([len(one) for one in texts])
-        columns = {"in_block": group["block"], "slice": group["slice"]}
-        for name, values in results.items():
-            whole = values.take(coded.indices)
-            parts = [whole.slice(a, b - a) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-            if pa.types.is_list(values.type):
-                sizes = [packed([np.diff(part.offsets.to_numpy())]) for part in parts]
-                columns[f"{name}_sizes"] = pa.array(sizes, pa.binary())
-                parts = [part.flatten() for part in parts]
-            columns[name] = pa.array([packed([part.to_numpy()]) for part in parts], pa.binary())
-        return pa.table(columns)
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [unpacked_texts(data.as_py()) for data in batch.column("pieces")]
+            if not texts:
+                continue
+            coded = pa.concat_arrays(texts).dictionary_encode()
+            results = find(coded.dictionary.to_pylist())
+            ends = np.cumsum([len(one) for one in texts])
+            columns = {"in_block": batch.column("block"), "slice": batch.column("slice")}
+            for name, values in results.items():
+                whole = values.take(coded.indices)
+                parts = [whole.slice(a, b - a) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+                if pa.types.is_list(values.type):
+                    sizes = [packed([np.diff(part.offsets.to_numpy())]) for part in parts]
+                    columns[f"{name}_sizes"] = pa.array(sizes, pa.binary())
+                    parts = [part.flatten() for part in parts]
+                columns[name] = pa.array([packed([part.to_numpy()]) for part in parts], pa.binary())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     pieces = table.where("slice >= 0").select("block", "slice", "pieces")
-    return pieces.groupBy("slice").applyInArrow(found, f"in_block long, slice int, {schema}")
+    return pieces.repartition("slice").sortWithinPartitions("slice").mapInArrow(found, f"in_block long, slice int, {schema}")
 
 
 def by_place(group: pa.Table, name: str) -> np.ndarray:
