@@ -68,3 +68,31 @@ def test_position_keeps_the_order_of_the_lines(spark, tmp_path):
         assert [int(r.SK_ID) for r in shuffled.collect()] == ids
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_damaged_lines(spark, tmp_path):
+    good, bad = tmp_path / "in" / "good", tmp_path / "in" / "bad"
+    good.mkdir(parents=True)
+    bad.mkdir()
+    (good / "part-0.csv").write_text('A;B;C\n1;2;3\n"x;y";2;3\n;;\n')
+    (bad / "part-0.csv").write_text("A;B;C\n1;2\n1;2;3;4\n1;2;3\n")
+    (bad / "part-1.csv").write_text('A;C;B\n1;"2;3\n4;5;6\n"a;b";1\n')
+    (bad / "part-2.csv").write_text("")
+    found = {row.FOLDER: tuple(row)[1:] for row in d.line_damage(spark, str(tmp_path / "in"), ["A", "B", "C"]).collect()}
+    # lines, damaged, few, many, quotes, blank, other headers
+    assert found == {"good": (3, 0, 0, 0, 0, 1, 0), "bad": (6, 4, 2, 1, 1, 0, 1)}
+
+
+def test_parts_go_by_their_number(spark, tmp_path):
+    for number, text in ((99999, "a"), (100000, "b"), (7, "c")):
+        (tmp_path / f"part-{number:05}-x.csv").write_text(f"V\n{text}\n")
+    lines = d.with_position(d.read_raw(spark, str(tmp_path)))
+    assert [row.V for row in lines.orderBy("POSITION").collect()] == ["c", "a", "b"]
+
+
+def test_preview_is_no_sort(spark, tmp_path):
+    spark.range(50).selectExpr("id AS A", "id AS B").write.option("sep", ";").option("header", True).csv(str(tmp_path / "t"))
+    shown = d.preview(spark, str(tmp_path / "t"), 4)
+    plan = shown._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan and "CollectLimit" in plan
+    assert shown.count() == 4 and shown.columns == ["A", "B"]

@@ -59,20 +59,39 @@ def _by_matrix(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     A task reports means and squared deviations, not raw sums of squares, and the merge works on
     differences to one task's mean, so a large common offset costs no digits.
     """
+    total, n = _merged(rows, columns), F.col("n")
+    sx, sy = F.col("sx"), F.col("sy")
+    x_spread = F.col("xx") - F.try_divide(sx * sx, n)
+    y_spread = F.col("yy") - F.try_divide(sy * sy, n)
+    together = F.col("xy") - F.try_divide(sx * sy, n)
+    x_varies = (F.col("xlo") < F.col("xhi")) & (x_spread > 0)
+    y_varies = (F.col("ylo") < F.col("yhi")) & (y_spread > 0)
+    value = F.try_divide(together, F.sqrt(x_spread) * F.sqrt(y_spread))
+    names = F.array(*[F.lit(c) for c in columns])
+    return total.select(
+        F.get(names, F.col("i")).alias("X"),
+        F.get(names, F.col("j")).alias("Y"),
+        _bounded(F.when(x_varies & y_varies, value)).alias("CORR"),
+    )
+
+
+def _merged(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The moments of every pair ``(i, j)`` of columns over all tasks, about one task's means ``mx`` and ``my``."""
     pair = ["i", "j"]
     schema = "i int, j int, " + ", ".join(f"{name} double" for name in MOMENTS)
     parts = rows.mapInArrow(_pair_moments(len(columns)), schema).union(_no_rows(rows, len(columns)))
     # One row per task and pair reaches these windows.
     same_pair = Window.partitionBy(*pair)
     n = F.col("n")
-    dx, dy = (
-        F.col(mean) - F.min(F.when(n > 0, F.col(mean))).over(same_pair) for mean in ("mx", "my")
-    )
-    total = (
-        parts.withColumns({"dx": dx, "dy": dy})
+    about = {name: F.min(F.when(n > 0, F.col(mean))).over(same_pair) for name, mean in (("ax", "mx"), ("ay", "my"))}
+    return (
+        parts.withColumns(about)
+        .withColumns({"dx": F.col("mx") - F.col("ax"), "dy": F.col("my") - F.col("ay")})
         .groupBy(*pair)
         .agg(
             F.sum("n").alias("n"),
+            F.min("ax").alias("ax"),
+            F.min("ay").alias("ay"),
             F.sum(n * F.col("dx")).alias("sx"),
             F.sum(n * F.col("dy")).alias("sy"),
             F.sum(F.col("xx") + n * F.col("dx") * F.col("dx")).alias("xx"),
@@ -82,18 +101,31 @@ def _by_matrix(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
             *[F.max(name).alias(name) for name in ("xhi", "yhi")],
         )
     )
-    sx, sy = F.col("sx"), F.col("sy")
-    x_spread = F.col("xx") - F.try_divide(sx * sx, n)
-    y_spread = F.col("yy") - F.try_divide(sy * sy, n)
-    together = F.col("xy") - F.try_divide(sx * sy, n)
-    x_varies = (F.col("xlo") < F.col("xhi")) & (x_spread > 0)
-    y_varies = (F.col("ylo") < F.col("yhi")) & (y_spread > 0)
-    value = F.try_divide(together, F.sqrt(x_spread) * F.sqrt(y_spread))
-    names = F.array(*[F.lit(c) for c in columns])
+
+
+def pair_covariances(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(X, Y, N, MEAN_X, MEAN_Y, XX, YY, XY)`` of every pair, X not after Y, over the rows where both are known.
+
+    XX, YY and XY are sums of squares and products about the means; XY is null if either column is infinite there.
+    """
+    columns = list(columns)
+    rows = df.select(*[without_nan(F.col(f"`{c}`").cast("double")).alias(f"c{place}") for place, c in enumerate(columns)])
+    n, names = F.col("n"), F.array(*[F.lit(c) for c in columns])
+    total = _merged(rows, columns)
+
+    def about(square: str, one: str, other: str) -> Column:
+        value = F.col(square) - F.try_divide(F.col(one) * F.col(other), n)
+        return without_nan(value)
+
     return total.select(
         F.get(names, F.col("i")).alias("X"),
         F.get(names, F.col("j")).alias("Y"),
-        _bounded(F.when(x_varies & y_varies, value)).alias("CORR"),
+        n.cast("bigint").alias("N"),
+        (F.col("ax") + F.try_divide(F.col("sx"), n)).alias("MEAN_X"),
+        (F.col("ay") + F.try_divide(F.col("sy"), n)).alias("MEAN_Y"),
+        about("xx", "sx", "sx").alias("XX"),
+        about("yy", "sy", "sy").alias("YY"),
+        about("xy", "sx", "sy").alias("XY"),
     )
 
 

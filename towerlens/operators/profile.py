@@ -78,8 +78,11 @@ def _every_metric(df: DataFrame, group: str, columns: Mapping) -> DataFrame:
 def group_missing_profile(df: DataFrame, group: str, columns: Mapping[str, Sequence[str]]) -> DataFrame:
     """Share of missing values of each group's own columns, from one pass; null for a group without rows."""
     every = list(dict.fromkeys(name for names in columns.values() for name in names))
-    shares = df.groupBy(group).agg(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in every])
-    shares = shares.unpivot([group], every, "METRIC", "SHARE")
+    known = df.where(F.col(group).isin(list(columns)))
+    counts = known.groupBy(group).agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in every])
+    shares = counts.unpivot([group, "_rows"], every, "METRIC", "_known")
+    shares = shares.select(group, "METRIC", (1 - F.col("_known") / F.col("_rows")).alias("SHARE"))
+    # A row for each of the given groups and columns.
     return _every_metric(df, group, columns).join(F.broadcast(shares), [group, "METRIC"], "left")
 
 
@@ -89,6 +92,7 @@ def group_cardinality_profile(df: DataFrame, group: str, columns: Mapping[str, S
     Each row yields (group, column number, value) for its group's columns only. Values of unlike types go
     through passes of their own.
     """
+    df = df.where(F.col(group).isin(list(columns)))
     types = dict(df.dtypes)
     every = list(dict.fromkeys(name for names in columns.values() for name in names))
     found = None

@@ -3,7 +3,7 @@
 from itertools import combinations_with_replacement
 
 from towerlens import fixed
-from towerlens.plans.queries import INFINITE, MAX_SHARE, MIN_DISTINCT, OFF_GRID, PAIR
+from towerlens.plans.queries import CHANNEL_SHARE, CHANNELS, INFINITE, MAX_SHARE, MIN_DISTINCT, OFF_GRID, PAIR
 from towerlens.sources.standins import kpi_select_list
 
 COUNTED = [c for columns in fixed.SCORED_BY_LAYER.values() for c in columns]
@@ -207,11 +207,114 @@ def table_profile() -> str:
 
 def filled(metric: str) -> str:
     return (
-        f"round({OFF_GRID} + coalesce({metric}, avg({metric}) OVER (PARTITION BY CELL_LAC_ID, isodow(KPI_DATE) >= 6),"
-        f" avg({metric}) OVER (PARTITION BY CELL_LAC_ID)), 6) AS {metric}"
+        f"floor(({OFF_GRID} + coalesce({metric}, avg({metric}) OVER (PARTITION BY CELL_LAC_ID, isodow(KPI_DATE) >= 6),"
+        f" avg({metric}) OVER (PARTITION BY CELL_LAC_ID))) * 1e6 + 0.5) / 1e6 AS {metric}"
     )
 
 
+def named(columns: list[str]) -> str:
+    """Names of the columns that hold a value, and how many they are."""
+    has = ", ".join(f"CASE WHEN {c} IS NOT NULL THEN '{c}' END" for c in columns)
+    return f"concat_ws(',', {has}) AS FILLED, CAST({' + '.join(f'({c} IS NOT NULL)::INT' for c in columns)} AS INT) AS N_FILLED"
+
+
+def patterns_by_layer() -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT GEN, FILLED, N_FILLED, count(*) AS N FROM (SELECT GEN, {named(columns)} FROM placed WHERE GEN = '{layer}') GROUP BY ALL"
+        for layer, columns in fixed.KPI_BY_LAYER.items()
+    )
+    return f"WITH {TO_GEN}, {PLACED} {parts}"
+
+
+def missing_together(columns: list[str]) -> str:
+    pairs = ", ".join(
+        f"{{'X': '{x}', 'Y': '{y}', 'mx': count(*) FILTER ({x} IS NULL), 'my': count(*) FILTER ({y} IS NULL),"
+        f" 'b': count(*) FILTER ({x} IS NULL AND {y} IS NULL)}}"
+        for i, x in enumerate(columns)
+        for y in columns[i + 1 :]
+    )
+    return f"""WITH {kpi()}, pairs AS (SELECT unnest([{pairs}]) AS p FROM kpi)
+      SELECT p.X AS "X", p.Y AS "Y", p.mx AS MISSING_X, p.my AS MISSING_Y, p.b AS MISSING_BOTH,
+        round(p.b / nullif(p.mx + p.my - p.b, 0)::DOUBLE, 6) AS OVERLAP FROM pairs"""
+
+
+def cell_fences() -> str:
+    means = ", ".join(f"floor(avg({c}) * 1e4 + 0.5) / 1e4 AS {c}" for c in fixed.KPI_COLUMNS)
+    parts = " UNION ALL ".join(
+        f"SELECT GEN, '{c}' AS METRIC, count({c}) AS N, quantile_disc({c}, 0.25) AS Q1, quantile_disc({c}, 0.75) AS Q3"
+        f" FROM means WHERE GEN = '{layer}' GROUP BY GEN HAVING count({c}) > 0"
+        for layer, columns in fixed.KPI_BY_LAYER.items()
+        for c in columns
+    )
+    return f"""{TO_GEN}, means AS (SELECT * FROM (SELECT CELL_LAC_ID, {means} FROM kpi GROUP BY CELL_LAC_ID) JOIN gen USING (CELL_LAC_ID)),
+      fences AS (SELECT *, Q1 - 1.5 * (Q3 - Q1) AS LOWER, Q3 + 1.5 * (Q3 - Q1) AS UPPER FROM ({parts}))"""
+
+
+def fences_hold() -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT GEN, '{c}' AS METRIC, count({c}) AS N FROM placed WHERE GEN = '{layer}' GROUP BY GEN HAVING count({c}) > 0"
+        for layer, columns in fixed.KPI_BY_LAYER.items()
+        for c in columns
+    )
+    return f"WITH {TO_GEN}, {PLACED} SELECT *, true AS Q1_HOLDS, true AS Q3_HOLDS FROM ({parts})"
+
+
+def joint_pair(shrinkage: float = 0.1) -> str:
+    one, other = PAIR
+    z = ", ".join(f"coalesce(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 0) AS z{i}" for i, c in enumerate(PAIR))
+    return f"""WITH {kpi()}, means AS (SELECT CELL_LAC_ID, avg({one}) AS {one}, avg({other}) AS {other} FROM kpi GROUP BY CELL_LAC_ID),
+      r AS (SELECT {1 - shrinkage} * coalesce(corr({one}, {other}), 0) AS r FROM means),
+      z AS (SELECT CELL_LAC_ID, {one} IS NOT NULL OR {other} IS NOT NULL AS known, {z} FROM means),
+      d AS (SELECT CELL_LAC_ID, sqrt((z0 * z0 - 2 * r * z0 * z1 + z1 * z1) / (1 - r * r)) AS d FROM z, r WHERE known)
+      SELECT CELL_LAC_ID, round(d, 6) AS DISTANCE FROM d WHERE d > 0"""
+
+
+def explained_pair() -> str:
+    one, other = PAIR
+    return f"""WITH {kpi()}, filled AS (SELECT {", ".join(
+        f"coalesce({c}, avg({c}) OVER (PARTITION BY CELL_LAC_ID, isodow(KPI_DATE) >= 6),"
+        f" avg({c}) OVER (PARTITION BY CELL_LAC_ID)) AS {c}" for c in PAIR)} FROM kpi),
+      r AS (SELECT abs(corr({one}, {other})) AS r FROM filled)
+      SELECT 1 AS COMPONENT, round(1 + r, 6) AS VARIANCE, round((1 + r) / 2, 6) AS SHARE, round((1 + r) / 2, 6) AS CUMULATED FROM r
+      UNION ALL SELECT 2, round(1 - r, 6), round((1 - r) / 2, 6), 1.0 FROM r"""
+
+
+METRIC_DAYS = f"""{kpi()}, d AS (SELECT CELL_LAC_ID, CAST(try_strptime(T_DATE || '.02', '%d.%m.%y') AS DATE) AS "DATE", DL_VOLUME_LTE FROM kpi),
+  days AS (SELECT CELL_LAC_ID, "DATE", count(*) AS N_ROWS, count(DL_VOLUME_LTE) AS N_KNOWN FROM d WHERE "DATE" IS NOT NULL GROUP BY ALL),
+  spine AS (SELECT CELL_LAC_ID, CAST(unnest(generate_series(min("DATE"), max("DATE"), INTERVAL 1 DAY)) AS DATE) AS "DATE"
+    FROM days GROUP BY CELL_LAC_ID),
+  every AS (SELECT CELL_LAC_ID, "DATE", coalesce(N_ROWS, 0) AS N_ROWS, coalesce(N_KNOWN, 0) AS N_KNOWN
+    FROM spine LEFT JOIN days USING (CELL_LAC_ID, "DATE"))"""
+
+
+def one_step() -> str:
+    """One Newton step of a logistic model from no weights is a least-squares line through 4 (y - 1/2)."""
+    return f"""WITH {TO_MART}, m AS (SELECT SK_ID, CSI, CNT_MONTHS AS x, {SLOT} % 5 AS FOLD FROM mart),
+      lines AS (SELECT f.FOLD, regr_slope(4 * (CSI - 0.5), x) AS b, regr_intercept(4 * (CSI - 0.5), x) AS a
+        FROM (SELECT unnest(range(5)) AS FOLD) f JOIN m ON m.FOLD <> f.FOLD GROUP BY f.FOLD)
+      SELECT SK_ID, CSI, CAST(m.FOLD AS BIGINT) AS FOLD, round(1 / (1 + exp(-(a + b * x))), 6) AS SCORE FROM m JOIN lines USING (FOLD)"""
+
+
+DAMAGED = """SELECT 'set' || (l_linenumber % 3) AS FOLDER, count(*) AS N_LINES,
+  count(*) FILTER (l_orderkey % 7 IN (1, 2, 3)) AS N_DAMAGED, count(*) FILTER (l_orderkey % 7 = 1) AS N_FEW,
+  count(*) FILTER (l_orderkey % 7 = 2) AS N_MANY, count(*) FILTER (l_orderkey % 7 = 3) AS N_QUOTES,
+  0 AS N_BLANK, CAST(l_linenumber % 3 = 2 AS INT) AS N_OTHER_HEADERS FROM lineitem GROUP BY l_linenumber % 3"""
+
+
+def channel_rows(layer: str) -> str:
+    return f"SELECT CELL_LAC_ID, {', '.join(CHANNELS)} FROM channel JOIN gen USING (CELL_LAC_ID) WHERE GEN = '{layer}'"
+
+
+def pruned_channel(layer: str) -> str:
+    weak = " UNION ALL ".join(
+        f"SELECT '{c}' AS METRIC FROM rows HAVING 1 - count({c}) / count(*)::DOUBLE <= {CHANNEL_SHARE} AND count(DISTINCT {c}) >= {MIN_DISTINCT}"
+        for c in CHANNELS
+    )
+    return f"""WITH {TO_GEN}, {CHANNEL}, rows AS ({channel_rows(layer)}), kept AS ({weak}),
+      long AS (FROM rows UNPIVOT INCLUDE NULLS (VALUE FOR METRIC IN ({", ".join(CHANNELS)})))
+      SELECT CELL_LAC_ID, METRIC, round(VALUE, 6) AS VALUE FROM long WHERE METRIC IN (SELECT METRIC FROM kept)"""
+
+
 FEATURE_COLUMNS = "SK_ID, SNAP_DATE, INTERNET_TYPE_ID, round(REVENUE, 6) AS REVENUE, SNAP_ID"
 CHANNEL = """channel AS (SELECT l_suppkey AS CELL_LAC_ID,
   CASE WHEN l_linenumber > 1 THEN l_quantity END AS CHANNEL_LOAD,
@@ -288,11 +391,18 @@ ORACLES: dict[str, str] = {
     "split_3g": f"WITH {TO_GEN} {layer_rows('3G', fixed.KPI_3G)}",
     "split_4g": f"WITH {TO_GEN} {layer_rows('4G', fixed.KPI_4G)}",
     "null_patterns": null_patterns(fixed.KPI_BY_LAYER),
+    "null_pattern_columns": f"WITH {kpi()}, p AS (SELECT {named(fixed.KPI_COLUMNS)} FROM kpi) SELECT FILLED, N_FILLED, count(*) AS N,"
+    " round(count(*) / (SELECT count(*) FROM p)::DOUBLE, 6) AS SHARE FROM p GROUP BY FILLED, N_FILLED",
+    "null_pattern_columns_by_layer": patterns_by_layer(),
+    "frequent_null_patterns": f"WITH {kpi()}, p AS (SELECT {named(fixed.KPI_COLUMNS)} FROM kpi)"
+    " SELECT FILLED, N_FILLED, count(*) AS N FROM p GROUP BY FILLED, N_FILLED",
+    "missing_together": missing_together(fixed.KPI_4G),
     "null_patterns_scored": null_patterns(fixed.SCORED_BY_LAYER),
     # profiles
     "table_profile": table_profile(),
     "missing_share": per_layer("SHARE", "round(1 - count({c}) / count(*)::DOUBLE, 6)"),
     "distinct_counts": per_layer("N_DISTINCT", "count(DISTINCT {c})"),
+    "distinct_counts_hold": per_layer("N_DISTINCT", "count(DISTINCT {c})").replace(" AS GEN", " AS GEN, true AS HOLDS"),
     "kept_columns": f"WITH {TO_GEN}, {PLACED} {KEPT}",
     "pruned_by_threshold_3g": f"WITH {TO_GEN}, {PLACED}, kept AS ({KEPT}), long AS (SELECT ROW_ID, METRIC, VALUE FROM ("
     f"SELECT ROW_ID, {', '.join(fixed.KPI_3G)} FROM placed WHERE GEN = '3G')"
@@ -318,6 +428,19 @@ ORACLES: dict[str, str] = {
     "kpi_anomalies": f"WITH {anomalies(2.0)} SELECT CELL_LAC_ID, METRIC, round(Z, 6) AS Z FROM anomalies",
     "kpi_anomaly_counts": f"WITH {anomalies(1.5)} SELECT CELL_LAC_ID, count(*) AS N_METRICS,"
     " round(max(abs(Z)), 6) AS MAX_Z FROM anomalies GROUP BY CELL_LAC_ID HAVING count(*) >= 2",
+    "kpi_fences_hold": fences_hold(),
+    "cell_fences": f"WITH {cell_fences()} SELECT GEN, METRIC, N, round(Q1, 4) AS Q1, round(Q3, 4) AS Q3, round(LOWER, 4) AS LOWER,"
+    " round(UPPER, 4) AS UPPER FROM fences",
+    "cells_outside_fences": f"WITH {cell_fences()}, long AS (UNPIVOT (SELECT CELL_LAC_ID, GEN, {', '.join(fixed.KPI_COLUMNS)} FROM means)"
+    f" ON {', '.join(fixed.KPI_COLUMNS)} INTO NAME METRIC VALUE VALUE) SELECT CELL_LAC_ID, GEN, METRIC, round(VALUE, 4) AS VALUE"
+    " FROM long JOIN fences USING (GEN, METRIC) WHERE VALUE < LOWER OR VALUE > UPPER",
+    "joint_anomalies_pair": joint_pair(),
+    "metric_days": f"WITH {METRIC_DAYS} SELECT * FROM every",
+    "metric_gaps": f"""WITH {METRIC_DAYS}, gaps AS (SELECT *, "DATE" - CAST(row_number() OVER (PARTITION BY CELL_LAC_ID ORDER BY "DATE") AS INT)
+      AS run FROM every WHERE N_KNOWN = 0) SELECT CELL_LAC_ID, min("DATE") AS FIRST, max("DATE") AS LAST, count(*) AS N_DAYS,
+      count(*) FILTER (N_ROWS = 0) AS N_ABSENT FROM gaps GROUP BY CELL_LAC_ID, run""",
+    **{f"channel_split_{layer.lower()}": f"WITH {TO_GEN}, {CHANNEL} {channel_rows(layer)}" for layer in fixed.LAYERS},
+    "pruned_channel_3g": pruned_channel("3G"),
     "channel_missing_share": f"WITH {TO_GEN}, {CHANNEL}, placed AS (SELECT channel.*, GEN FROM channel"
     " JOIN gen USING (CELL_LAC_ID)) "
     + " UNION ALL ".join(
@@ -339,6 +462,12 @@ ORACLES: dict[str, str] = {
     " WHERE GEN = '4G' AND DL_VOLUME_LTE IS NULL",
     "correlation_with_infinities": infinite_correlation(),
     "kpi_components_pair": component_pair(),
+    "component_checks": " UNION ALL ".join(
+        f"SELECT '{layer}' AS GEN, {len(columns)} AS N_COLUMNS, 0.0::DOUBLE AS VARIANCE_OFF, 0.0::DOUBLE AS CORRELATION,"
+        f" {len(columns)}.0::DOUBLE AS VARIANCES"
+        for layer, columns in fixed.KPI_BY_LAYER.items()
+    ),
+    "explained_variance": explained_pair(),
     "separated_clusters": """WITH k AS (SELECT DISTINCT l_suppkey AS CELL_LAC_ID, l_suppkey % 4 AS kind FROM lineitem),
       f AS (SELECT kind, row_number() OVER (ORDER BY min(CELL_LAC_ID)) - 1 AS CLUSTER FROM k GROUP BY kind)
       SELECT CELL_LAC_ID, CAST(CLUSTER AS INT) AS CLUSTER FROM k JOIN f USING (kind)""",
@@ -396,6 +525,7 @@ ORACLES: dict[str, str] = {
     "sessions_with_layer": f"WITH {TO_GEN}, {SESSIONS} SELECT CELL_LAC_ID, SK_ID, START_TIME, DATA_VOL_MB,"
     " substr(START_TIME, 1, 5) AS START_DATE, GEN FROM sessions LEFT JOIN gen USING (CELL_LAC_ID)",
     "traffic_by_layer": f"WITH {TO_TRAFFIC} SELECT SK_ID, {traffic_columns('DATA_VOL', 6)} FROM traffic",
+    "traffic_by_layer_bitmaps": f"WITH {TO_TRAFFIC} SELECT SK_ID, {traffic_columns('DATA_VOL', 6)} FROM traffic",
     "traffic_by_layer_large_lookup": f"WITH {TO_TRAFFIC} SELECT SK_ID, {traffic_columns('DATA_VOL', 6)} FROM traffic",
     "exposure_from_files": f"""WITH {TO_FILE_MART} SELECT CSI, round(avg("CNT_HOURS_2G"), 6) AS MEAN,
       count(*) AS N FROM mart WHERE PHONE_GEN = '4G' GROUP BY CSI""",
@@ -407,6 +537,8 @@ ORACLES: dict[str, str] = {
     " round(AVG_REVENUE, 6) AS AVG_REVENUE, PHONE_GEN FROM summary",
     "feature_mart": f"WITH {TO_MART} SELECT SK_ID, CSI, CNT_MONTHS, round(AVG_REVENUE, 6) AS AVG_REVENUE,"
     f" PHONE_GEN, {traffic_columns('DATA_VOL', 6)} FROM mart",
+    "feature_mart_incremental": f"WITH {TO_MART} SELECT SK_ID, CSI, CNT_MONTHS, round(AVG_REVENUE, 6) AS AVG_REVENUE,"
+    f" PHONE_GEN, {traffic_columns('DATA_VOL', 6)} FROM mart",
     "layer_exposure_by_outcome": f"""WITH {TO_MART} SELECT CSI, round(avg("CNT_HOURS_2G"), 6) AS MEAN,
       count(*) AS N FROM mart WHERE PHONE_GEN = '4G' GROUP BY CSI""",
     "wrong_layer_share": f"""WITH {TO_TRAFFIC}, {FEATURES}, {SUMMARY},
@@ -420,6 +552,7 @@ ORACLES: dict[str, str] = {
     "roc_auc": auc(),
     "auc_by_scoring": auc("SCORING"),
     "scores_in_order": f"WITH {SCORED} SELECT POSITION, SK_ID, SCORE FROM scored",
+    "out_of_fold_one_step": one_step(),
     "held_out_scores": f"""WITH {TO_MART}, m AS (SELECT SK_ID, CSI, coalesce(PHONE_GEN = '4G', false) AS flag,
         {SLOT} < 60 AS is_train FROM mart),
       rate AS (SELECT flag, avg(CSI) AS r FROM m WHERE is_train GROUP BY flag),
@@ -432,6 +565,8 @@ ORACLES: dict[str, str] = {
       replace(CAST(SUM_DATA_MIN AS VARCHAR), '.', ',') AS SUM_DATA_MIN
       FROM (FROM consumption ORDER BY consumption.SK_ID, consumption.CELL_LAC_ID, MON, consumption.SUM_MINUTES,
         consumption.SUM_DATA_MB, consumption.SUM_DATA_MIN LIMIT 10)""",
+    "csv_preview_bounded": "SELECT least(10, count(*)) AS N_LINES, least(10, count(*)) AS N_IN_TABLE FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
+    "csv_damaged_lines": DAMAGED,
     "csv_typed_scan": f"WITH {USAGE} SELECT SK_ID, CELL_LAC_ID, MON, round(SUM_MINUTES, 6) AS SUM_MINUTES,"
     " round(SUM_DATA_MB, 6) AS SUM_DATA_MB, round(SUM_DATA_MIN, 6) AS SUM_DATA_MIN FROM consumption",
     "csv_parse_failures": "SELECT 'CELL_LAC_ID' AS METRIC, CAST(0 AS BIGINT) AS N_FAILED UNION ALL"

@@ -6,9 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from towerlens import fixed
-from towerlens.functions.columns import percent_slot
-from towerlens.operators import anomalies, coverage, labels, layers, learn, profile, rows, score, usage
-from towerlens.operators.correlation import correlation_matrix
+from towerlens.functions.columns import percent_slot, short_date
+from towerlens.operators import (
+    anomalies,
+    calendar,
+    coverage,
+    fences,
+    folds,
+    increments,
+    joint,
+    labels,
+    layers,
+    learn,
+    patterns,
+    profile,
+    rows,
+    score,
+    sketches,
+    usage,
+)
+from towerlens.operators.correlation import correlation_matrix, pair_covariances
 from towerlens.operators.impute import fill_by_day_type
 from towerlens.operators.lookups import lookup_join
 from towerlens.plans import analyses
@@ -48,6 +65,16 @@ INFINITE = {
 OFF_GRID = 0.000000137
 MAX_SHARE = 0.75
 MIN_DISTINCT = 12
+CHANNEL_SHARE = 0.3
+# Sketches of cell means are exact up to so many cells a layer; ranks over rows are right within the share.
+CELL_ACCURACY = 4096
+FENCE_RANKS = 0.015
+# Three fields, some lines damaged: a field too few, one too many, a quote left open, and a quoted separator, which is fine.
+DAMAGED_LINE = """CASE WHEN l_orderkey % 7 = 1 THEN concat(l_orderkey, ';', l_suppkey)
+  WHEN l_orderkey % 7 = 2 THEN concat(l_orderkey, ';', l_suppkey, ';x;y')
+  WHEN l_orderkey % 7 = 3 THEN concat(l_orderkey, ';"', l_suppkey, ';x')
+  WHEN l_orderkey % 7 = 4 THEN concat(l_orderkey, ';"', l_suppkey, ';z";x')
+  ELSE concat(l_orderkey, ';', l_suppkey, ';x') END"""
 KPI_TYPES = {"T_DATE": "string", CELL: "bigint", **dict.fromkeys(fixed.KPI_COLUMNS, "double")}
 SESSION_TYPES = {"SK_ID": "bigint", CELL: "bigint", "START_TIME": "string", "DATA_VOL_MB": "double"}
 ANSWER_TYPES = {"SK_ID": "bigint", "CSI": "int"}
@@ -150,7 +177,221 @@ def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def day_type_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     kpi = standins.cell_kpi(spark, sf_dir).select("ROW_ID", "KPI_DATE", CELL, *fixed.KPI_COLUMNS)
     filled = fill_by_day_type(kpi, CELL, "KPI_DATE", fixed.KPI_COLUMNS)
-    return rounded(filled.withColumns({c: F.col(c) + OFF_GRID for c in fixed.KPI_COLUMNS}))
+    # Plain arithmetic, as rounding doubles goes through decimals.
+    return filled.withColumns({c: F.floor((F.col(c) + OFF_GRID) * 1e6 + 0.5) / 1e6 for c in fixed.KPI_COLUMNS})
+
+
+def frequent_null_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterns from one stored sketch for each month, all of them merged."""
+    kpi = standins.cell_kpi(spark, sf_dir).withColumn("MONTH", F.trunc("KPI_DATE", "month"))
+    stored = written(patterns.pattern_sketches(kpi, fixed.KPI_COLUMNS, "MONTH"), "pattern-sketches")
+    return patterns.frequent_patterns(stored, fixed.KPI_COLUMNS, 500)
+
+
+def placed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPI table with layers and the month a sketch is kept for."""
+    return placed_kpi(spark, sf_dir).withColumn("MONTH", F.trunc("KPI_DATE", "month"))
+
+
+def kpi_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fences of each layer's columns over all rows, from sketches by layer and month that are stored and merged."""
+    stored = written(fences.quantile_sketches(placed_days(spark, sf_dir), ["GEN", "MONTH"], fixed.KPI_COLUMNS), "kpi-sketches")
+    return fences.fences(fences.merged_sketches(stored, ["GEN"], fixed.KPI_COLUMNS), "GEN", fixed.KPI_BY_LAYER)
+
+
+def kpi_fences_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the quartiles that the fences come from have the ranks they should, within the sketches' bound."""
+    found = written(kpi_fences(spark, sf_dir), "fences")
+    values = [F.struct(F.lit(c).alias("METRIC"), F.col(c).alias("VALUE")) for c in fixed.KPI_COLUMNS]
+    long = placed_kpi(spark, sf_dir).select("GEN", F.inline(F.array(*values))).where("VALUE IS NOT NULL")
+    joined = long.join(F.broadcast(found), ["GEN", "METRIC"])  # as many rows as the layers have columns
+    holds = []
+    for name, rank in (("Q1", 0.25), ("Q3", 0.75)):
+        below = F.count_if(F.col("VALUE") < F.col(name)) / F.count("*")
+        upto = F.count_if(F.col("VALUE") <= F.col(name)) / F.count("*")
+        holds.append(((below <= rank + FENCE_RANKS) & (upto >= rank - FENCE_RANKS)).alias(f"{name}_HOLDS"))
+    return joined.groupBy("GEN", "METRIC").agg(F.count("*").alias("N"), *holds)
+
+
+def cell_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each cell's means and its layer, and a part of the cells to keep a sketch for."""
+    kpi = standins.cell_kpi(spark, sf_dir)
+    means = kpi.groupBy(CELL).agg(*[(F.floor(F.avg(c) * 1e4 + 0.5) / 1e4).alias(c) for c in fixed.KPI_COLUMNS])
+    return means.join(analyses.cell_layers(kpi), CELL).withColumn("PART", F.col(CELL) % 7)
+
+
+def cell_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fences of cell means, from sketches of seven parts of the cells; exact, as there are few values to sketch."""
+    stored = fences.quantile_sketches(cell_means(spark, sf_dir), ["GEN", "PART"], fixed.KPI_COLUMNS, CELL_ACCURACY)
+    stored = written(stored, "cell-sketches")
+    return fences.fences(fences.merged_sketches(stored, ["GEN"], fixed.KPI_COLUMNS), "GEN", fixed.KPI_BY_LAYER)
+
+
+def cells_outside_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fences.outside_fences(cell_means(spark, sf_dir), [CELL], "GEN", cell_fences(spark, sf_dir), fixed.KPI_BY_LAYER)
+    return rounded(found.select(CELL, "GEN", "METRIC", "VALUE"), 4)
+
+
+def joint_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joint.joint_anomalies(standins.cell_kpi(spark, sf_dir), CELL, fixed.KPI_COLUMNS, 1.1)
+
+
+def joint_anomalies_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Joint distances in two columns, all cells."""
+    found = joint.joint_anomalies(standins.cell_kpi(spark, sf_dir), CELL, PAIR, 0.0)
+    return rounded(found.select(CELL, "DISTANCE"))
+
+
+def filled_layer(spark: SparkSession, sf_dir: str, layer: str) -> DataFrame:
+    """A layer's table with its gaps filled by type of day, where a cell has any value, and by the mean elsewhere."""
+    columns = fixed.KPI_BY_LAYER[layer]
+    table = analyses.kpi_by_layer(standins.cell_kpi(spark, sf_dir), [*ROW, "KPI_DATE"])[layer]
+    table = written(fill_by_day_type(table, CELL, "KPI_DATE", columns), "filled")
+    means = table.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    return table.withColumns({c: F.coalesce(c, F.lit(means[c])) for c in columns if means[c] is not None})
+
+
+def layer_components(layer: str) -> Query:
+    """Coordinates of every row of a layer on its first components, over all of the layer's columns."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table = filled_layer(spark, sf_dir, layer)
+        return joint.component_scores(table, ["ROW_ID"], joint.components(table, fixed.KPI_BY_LAYER[layer]), 3)
+
+    return query
+
+
+def component_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold for the components of any table, by layer: the coordinates' variances are the components', they
+    don't correlate, and the components' variances add up to the number of columns."""
+    checks = None
+    for layer, columns in fixed.KPI_BY_LAYER.items():
+        table = filled_layer(spark, sf_dir, layer)
+        found = joint.components(table, columns)
+        told = [place for place, value in enumerate(found.variances, 1) if value > 1e-6]
+        names = [f"PC{place}" for place in told]
+        scores = written(joint.component_scores(table, [], found, len(found.variances)).select(*names), "components")
+        pairs = pair_covariances(scores, names)
+        variances = F.create_map(*[F.lit(part) for place in told for part in (f"PC{place}", float(found.variances[place - 1]))])
+        own, other = F.col("X") == F.col("Y"), F.col("X") != F.col("Y")
+        ratio = F.col("XX") / (F.col("N") - 1) / F.try_element_at(variances, F.col("X"))
+        check = pairs.agg(
+            F.lit(layer).alias("GEN"),
+            F.lit(len(found.moments.columns)).alias("N_COLUMNS"),
+            F.round(F.max(F.when(own, F.abs(ratio - 1))), 4).alias("VARIANCE_OFF"),
+            F.round(F.max(F.when(other, F.abs(F.col("XY") / F.sqrt(F.col("XX") * F.col("YY"))))), 4).alias("CORRELATION"),
+            F.lit(round(float(found.variances.sum()), 6)).alias("VARIANCES"),
+        )
+        checks = check if checks is None else checks.unionByName(check)
+    return checks
+
+
+def explained_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variance and share of both components of two columns."""
+    kpi = standins.cell_kpi(spark, sf_dir).select("ROW_ID", "KPI_DATE", CELL, *PAIR)
+    table = written(fill_by_day_type(kpi, CELL, "KPI_DATE", PAIR), "filled")
+    return rounded(joint.explained_variance(table, joint.components(table, PAIR)))
+
+
+def distinct_counts_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct counts of each layer's columns from sketches by layer and month that are stored and united."""
+    stored = written(sketches.distinct_sketches(placed_days(spark, sf_dir), ["GEN", "MONTH"], fixed.KPI_COLUMNS), "distinct-sketches")
+    return sketches.estimated(sketches.united(stored, ["GEN"], fixed.KPI_COLUMNS), "GEN", fixed.KPI_BY_LAYER)
+
+
+def distinct_counts_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct counts, and whether the sketched ones are within four standard errors of them."""
+    exact = profile.group_cardinality_profile(placed_kpi(spark, sf_dir), "GEN", fixed.KPI_BY_LAYER)
+    found = distinct_counts_sketched(spark, sf_dir).withColumnRenamed("N_DISTINCT", "FOUND")
+    bound = 4 * 0.83 / 2 ** (sketches.LG_K / 2)
+    near = F.abs(F.coalesce("FOUND", F.lit(0)) - F.col("N_DISTINCT")) <= bound * F.col("N_DISTINCT")
+    return exact.join(found, ["GEN", "METRIC"], "left").select("GEN", "METRIC", "N_DISTINCT", near.alias("HOLDS"))
+
+
+def traffic_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layer_of_cell = analyses.cell_layers(standins.cell_kpi(spark, sf_dir))
+    return rounded(increments.traffic_by_layer_bitmaps(standins.data_sessions(spark, sf_dir), layer_of_cell))
+
+
+def mart_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart from states of two batches of sessions and two of snapshots, each written on its own and merged."""
+    layer_of_cell = written(analyses.cell_layers(standins.cell_kpi(spark, sf_dir)), "cell-layers")
+    sessions = standins.data_sessions(spark, sf_dir)
+    late = F.coalesce(F.substring("START_TIME", 4, 2) >= "07", F.lit(True))
+    path = new_path(spark, "daily-states")
+    for batch, rows_ in (("first", sessions.where(~late)), ("second", sessions.where(late))):
+        increments.add_batch(increments.daily_states(rows_, layer_of_cell), path, batch)
+    traffic = increments.traffic_of_states(increments.stored_states(spark, path))
+
+    snapshots = analyses.with_phone_layer(features(spark, sf_dir))
+    newer = F.coalesce(F.col("MONTH") >= "1996-01-01", F.lit(True))
+    path = new_path(spark, "snapshot-states")
+    for batch, rows_ in (("first", snapshots.where(~newer)), ("second", snapshots.where(newer))):
+        day, tie = short_date(F.col("SNAP_DATE")), F.col("SNAP_ID")
+        states = increments.snapshot_states(rows_, SUBSCRIBER, "REVENUE", "PHONE_GEN", fixed.LAYERS, F.col("MONTH"), day, tie)
+        increments.add_batch(states, path, batch)
+    summary = increments.summary_of_states(spark.read.parquet(path), SUBSCRIBER, "PHONE_GEN", fixed.LAYERS)
+    return rounded(analyses.feature_mart(standins.survey_answers(spark, sf_dir), summary, traffic, SUBSCRIBER))
+
+
+def out_of_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every surveyed subscriber's score by a model of the other folds, from all columns of the mart."""
+    columns = ["CNT_MONTHS", "AVG_REVENUE", *EXPOSURE]
+    rows_ = written(mart(spark, sf_dir).select(SUBSCRIBER, "CSI", *columns), "mart")
+    return folds.out_of_fold_scores(rows_, SUBSCRIBER, "CSI", folds.fitted(rows_, SUBSCRIBER, "CSI", columns))
+
+
+def out_of_fold_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score.roc_auc(out_of_fold_scores(spark, sf_dir), "SCORE", "CSI")
+
+
+def out_of_fold_one_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores after one Newton step from no weights, in one column; it has a closed form."""
+    rows_ = written(mart(spark, sf_dir).select(SUBSCRIBER, "CSI", "CNT_MONTHS"), "mart")
+    model = folds.fitted(rows_, SUBSCRIBER, "CSI", ["CNT_MONTHS"], ridge=0.0, steps=1)
+    return rounded(folds.out_of_fold_scores(rows_, SUBSCRIBER, "CSI", model))
+
+
+def csv_damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage counted over three folders of files: fields too few or too many, open quotes, another header."""
+    path = new_path(spark, "damaged-csv")
+    for number, header in enumerate(("A;B;C", "A;B;C", "A;C;B")):
+        lines = standins.table(spark, sf_dir, "lineitem").where(f"l_linenumber % 3 = {number}")
+        lines.select(F.expr(DAMAGED_LINE).alias(header)).write.option("header", True).option("sep", "\x01").option(
+            "quote", ""
+        ).csv(f"{path}/set{number}")
+    found = delimited.line_damage(spark, path, ["A", "B", "C"])
+    return found.withColumn("N_OTHER_HEADERS", (F.col("N_OTHER_HEADERS") > 0).cast("int"))
+
+
+def csv_preview_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines the bounded preview of a file has, and how many of them are in the table."""
+    path = written_consumption(spark, sf_dir)
+    shown = delimited.preview(spark, path, 10).select(F.xxhash64(*CONSUMPTION_TYPES).alias("line"))
+    every = delimited.read_raw(spark, path).select(F.xxhash64(*CONSUMPTION_TYPES).alias("line")).distinct()
+    shown = written(shown, "preview")
+    return shown.join(every.withColumn("there", F.lit(1)), "line", "left").agg(
+        F.count("*").alias("N_LINES"), F.count("there").alias("N_IN_TABLE")
+    )
+
+
+def channel_split(layer: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        layer_of_cell = analyses.cell_layers(standins.cell_kpi(spark, sf_dir))
+        groups = dict.fromkeys(fixed.LAYERS, CHANNELS)
+        return coverage.split_by_group(standins.channel_kpi(spark, sf_dir), layer_of_cell, CELL, groups, [CELL])[layer]
+
+    return query
+
+
+def pruned_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 3G channel table without weak columns, in long form, as its columns depend on the data."""
+    table = channel_split("3G")(spark, sf_dir)
+    strong = profile.prune_missing(table, CHANNELS, max_share=CHANNEL_SHARE)
+    rest = [c for c in strong.columns if c in CHANNELS]
+    strong = profile.prune_low_cardinality(strong, rest, min_distinct=MIN_DISTINCT)
+    rest = [c for c in strong.columns if c in CHANNELS]
+    return rounded(strong.unpivot([CELL], rest, "METRIC", "VALUE"))
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -474,11 +715,19 @@ QUERIES: dict[str, Query] = {
     "split_4g": layer_table("4G"),
     "split_3g_large_lookup": split_3g_large_lookup,
     "null_patterns": on_kpi(lambda kpi: profile.null_patterns(kpi, fixed.KPI_BY_LAYER)),
+    "null_pattern_columns": on_kpi(lambda kpi: rounded(patterns.null_pattern_columns(kpi, fixed.KPI_COLUMNS))),
+    "null_pattern_columns_by_layer": lambda spark, sf_dir: patterns.patterns_by_group(
+        placed_kpi(spark, sf_dir), "GEN", fixed.KPI_BY_LAYER
+    ),
+    "frequent_null_patterns": frequent_null_patterns,
+    "missing_together": on_kpi(lambda kpi: rounded(patterns.missing_together(kpi, fixed.KPI_4G))),
     "null_patterns_scored": on_kpi(lambda kpi: profile.null_patterns(kpi, fixed.SCORED_BY_LAYER)),
     # profiles
     "table_profile": on_kpi(profile.table_profile),
     "missing_share": per_layer(profile.group_missing_profile),
     "distinct_counts": per_layer(profile.group_cardinality_profile),
+    "distinct_counts_sketched": distinct_counts_sketched,
+    "distinct_counts_hold": distinct_counts_hold,
     "kept_columns": kept_columns,
     "pruned_by_threshold_3g": pruned_by_threshold,
     "pruned_3g": pruned_table("3G"),
@@ -506,6 +755,18 @@ QUERIES: dict[str, Query] = {
             )
         )
     ),
+    "kpi_fences": kpi_fences,
+    "kpi_fences_hold": kpi_fences_hold,
+    "cell_fences": lambda spark, sf_dir: rounded(cell_fences(spark, sf_dir), 4),
+    "cells_outside_fences": cells_outside_fences,
+    "joint_anomalies": joint_anomalies,
+    "joint_anomalies_pair": joint_anomalies_pair,
+    "metric_days": on_kpi(lambda kpi: calendar.metric_days(kpi, CELL, "T_DATE", "DL_VOLUME_LTE")),
+    "metric_gaps": on_kpi(lambda kpi: calendar.metric_gaps(kpi, CELL, "T_DATE", "DL_VOLUME_LTE")),
+    "channel_split_2g": channel_split("2G"),
+    "channel_split_3g": channel_split("3G"),
+    "channel_split_4g": channel_split("4G"),
+    "pruned_channel_3g": pruned_channel,
     "channel_missing_share": per_layer(
         profile.group_missing_profile, placed_channels, dict.fromkeys(fixed.LAYERS, CHANNELS)
     ),
@@ -517,6 +778,10 @@ QUERIES: dict[str, Query] = {
     "correlation_with_infinities": infinite_correlation,
     "kpi_components": kpi_components,
     "kpi_components_pair": component_pair,
+    "kpi_components_3g": layer_components("3G"),
+    "kpi_components_4g": layer_components("4G"),
+    "component_checks": component_checks,
+    "explained_variance": explained_variance,
     "cell_clusters": cell_clusters,
     "separated_clusters": separated_clusters,
     # phone layers
@@ -556,10 +821,12 @@ QUERIES: dict[str, Query] = {
     "sessions_with_layer": sessions_with_layer,
     "traffic_by_layer": lambda spark, sf_dir: rounded(data_traffic(spark, sf_dir)),
     "traffic_by_layer_large_lookup": traffic_large_lookup,
+    "traffic_by_layer_bitmaps": traffic_bitmaps,
     "voice_by_layer": voice_traffic,
     "voice_only_subscribers": voice_only,
     "subject_summary": on_kpi(lambda df: rounded(analyses.subscriber_summary(df)), features),
     "feature_mart": lambda spark, sf_dir: rounded(mart(spark, sf_dir)),
+    "feature_mart_incremental": mart_incremental,
     "layer_exposure_by_outcome": lambda spark, sf_dir: rounded(
         analyses.layer_exposure_by_outcome(mart(spark, sf_dir))
     ),
@@ -572,10 +839,15 @@ QUERIES: dict[str, Query] = {
     "outcome_scores": outcome_scores,
     "outcome_auc": outcome_auc,
     "held_out_scores": held_out_scores,
+    "out_of_fold_scores": out_of_fold_scores,
+    "out_of_fold_auc": out_of_fold_auc,
+    "out_of_fold_one_step": out_of_fold_one_step,
     # files and rows
     "csv_typed_scan": csv_typed_scan,
     "csv_preview": csv_preview,
+    "csv_preview_bounded": csv_preview_bounded,
     "csv_parse_failures": csv_parse_failures,
+    "csv_damaged_lines": csv_damaged_lines,
     "train_test_features": train_test_features,
     "first_rows": on_kpi(lambda df: rows.first_rows(df, ["SK_ID", "SNAP_ID"]), features),
     "random_rows": on_kpi(
