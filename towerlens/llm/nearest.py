@@ -2,9 +2,9 @@
 
 Every vector is indexed: what is left of it after its nearest centroid is rotated at random, and the signs of that
 residual, packed, are its code. With four scalars a vector, the packed bits give an unbiased estimate of its inner
-product with any query and a bound of the error. In each shard the vectors whose upper bound reaches the k-th
-largest lower bound are reranked by exact inner products, so a vector is lost only if a bound of SPREADS standard
-deviations fails.
+product with any query and a bound of the error. In each shard the vectors that look nearest are scored exactly; all
+whose upper bound reaches the k-th best of these scores are reranked by exact inner products, so a vector is lost
+only if a bound of SPREADS standard deviations fails.
 
 The queries meet the index in blocks: each shard holds a bounded number of vectors and reads all queries, in
 batches, once. Per query and shard k rows at most come back.
@@ -31,13 +31,14 @@ SEED = 42
 # Centroids, and the vectors they are fitted on: a sample by hash of so many bytes as doubles, at most.
 CENTROIDS, ROUNDS = 32, 8
 SAMPLE_BYTES = 4 << 20
-# Standard deviations of an estimate within which its bounds lie.
-SPREADS = 4.0
+# Vectors of a shard that are scored first, for each wanted one, and the standard deviations an estimate's bounds lie at.
+FIRST = 2
+SPREADS = 3.0
 # Shards of the index: so many at least, of so many bytes of vectors at most, as doubles.
 SHARDS = 16
 SHARD_BYTES = 64 << 20
 # Estimates that are made at a time.
-AT_ONCE = 1 << 21
+AT_ONCE = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -128,51 +129,75 @@ def index(rows: DataFrame, shape: Frame) -> DataFrame:
 
 
 class _Shard:
-    """The vectors of one shard and their codes."""
+    """The vectors of one shard, by id, and their codes."""
 
     def __init__(self, parts: list[pa.RecordBatch], shape: Frame) -> None:
-        table = pa.Table.from_batches(parts).combine_chunks()
-        column = {name: table[name].chunk(0) if table.num_rows else None for name in table.column_names}
+        table = pa.Table.from_batches(parts).sort_by("id").combine_chunks()
+        column = {name: table[name].chunk(0) for name in table.column_names}
         self.shape, self.ids = shape, column["id"].to_numpy()
-        self.components = np.ascontiguousarray(_matrix(column["vector"], shape.dim).T)
+        self.vectors = _matrix(column["vector"], shape.dim)
         self.centroid = column["centroid"].to_numpy()
         packed = np.frombuffer(b"".join(column["code"].to_pylist()), np.uint8).reshape(len(self.ids), -1)
         bits = np.unpackbits(packed, axis=1, count=shape.dim)
         self.signs = (bits.T.astype(np.float32) * 2 - 1) / np.float32(math.sqrt(shape.dim))
-        self.length, self.own, self.middle, self.base = _matrix(column["scalars"], 4).T.copy()
-        spread = np.sqrt(np.maximum(1 - self.own**2, 0)) / self.own / math.sqrt(max(shape.dim - 1, 1))
+        length, own, middle, base = _matrix(column["scalars"], 4).T
+        self.scale = (length / own).astype(np.float32)
+        self.base = (base - length / own * middle).astype(np.float32)
+        spread = np.sqrt(np.maximum(1 - own**2, 0)) / own / math.sqrt(max(shape.dim - 1, 1))
         # A little more for the single precision of the estimate.
-        self.error = self.length * (SPREADS * spread + 1e-5)
+        self.error = (length * (SPREADS * spread + 1e-5)).astype(np.float32)
 
-    def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lower and upper bounds of the inner products of all queries with all vectors."""
+    def estimates(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Estimated inner products of all queries with all vectors, and how far off they may be."""
         middles = self.shape.centroids
         near = queries @ middles.T
         away = np.sqrt(np.maximum((queries * queries).sum(1)[:, None] - 2 * near + (middles * middles).sum(1), 0))
-        seen = (queries @ self.shape.rotation).astype(np.float32) @ self.signs
-        estimate = near[:, self.centroid] + self.base + (self.length / self.own) * (seen - self.middle)
-        error = away[:, self.centroid] * self.error
-        return estimate - error, estimate + error
+        found = (queries @ self.shape.rotation).astype(np.float32) @ self.signs
+        found *= self.scale
+        found += self.base
+        found += near.astype(np.float32)[:, self.centroid]
+        error = away.astype(np.float32)[:, self.centroid]
+        error *= self.error
+        # And for what rounding does to large numbers.
+        error += np.float32(1e-6) * np.abs(found)
+        return found, error
+
+    def scores(self, queries: np.ndarray, query: np.ndarray, vector: np.ndarray) -> np.ndarray:
+        """Inner products of pairs, in double precision."""
+        out, step = np.empty(len(query)), max(1, AT_ONCE // self.shape.dim)
+        for at in range(0, len(query), step):
+            part = slice(at, at + step)
+            out[part] = np.einsum("ij,ij->i", queries[query[part]], self.vectors[vector[part]])
+        return out
 
     def nearest(self, ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Rows ``(query, vector, score)`` of the ``k`` nearest vectors of every query that aren't its own."""
-        lower, upper = self.bounds(queries)
-        own = ids[:, None] == self.ids
-        lower[own], upper[own] = -np.inf, -np.inf
-        if len(self.ids) > k:
-            chosen = upper >= np.partition(lower, len(self.ids) - k, axis=1)[:, [len(self.ids) - k]]
-        else:
-            chosen = np.ones(own.shape, bool)
-        query, vector = np.nonzero(chosen & ~own)
-        turned, score = np.ascontiguousarray(queries.T), np.zeros(len(query))
-        for one, other in zip(turned, self.components):
-            # Component by component, so that the sum doesn't depend on what is computed together.
-            score += one[query] * other[vector]
+        found, error = self.estimates(queries)
+        first, last = np.searchsorted(self.ids, ids, "left"), np.searchsorted(self.ids, ids, "right")
+        for query in np.flatnonzero(last > first):
+            found[query, first[query] : last[query]] = -np.inf
+        size, n = len(self.ids), FIRST * k
+        chosen, least = found > -np.inf, np.full(len(ids), -np.inf)
+        if size > n:
+            best = np.argpartition(found, size - n, axis=1)[:, size - n :]
+            query = np.repeat(np.arange(len(ids)), n)
+            scores = self.scores(queries, query, best.ravel())
+            scores[~chosen[query, best.ravel()]] = -np.inf
+            reached = np.partition(scores.reshape(-1, n), n - k, axis=1)[:, n - k]
+            # What a sum in another order may differ by.
+            least = reached - 1e-9 * np.abs(reached)
+            chosen &= found + error >= least.astype(np.float32)[:, None]
+        query, vector = np.divmod(np.flatnonzero(chosen), size)
+        kept = self.scores(queries, query, vector) >= least[query]
+        query, vector = query[kept], vector[kept]
+        score = np.zeros(len(query))
+        for component in range(self.shape.dim):
+            # One by one, so that the sum doesn't depend on what is computed together.
+            score += queries[query, component] * self.vectors[vector, component]
         order = np.lexsort((self.ids[vector], -score, query))
-        query = query[order]
-        place = np.arange(len(query)) - np.searchsorted(query, query)
-        order, query = order[place < k], query[place < k]
-        return query, vector[order], score[order]
+        query, vector, score = query[order], vector[order], score[order]
+        kept = np.arange(len(query)) - np.searchsorted(query, query) < k
+        return query[kept], vector[kept], score[kept]
 
 
 def _search(shape: Frame, k: int):
