@@ -15,8 +15,7 @@ WINDOW = 8
 # Base rules: fewest words, and the most words in repeated windows, per cent.
 LEAST_WORDS = 20
 MOST_REPEATED = 30
-# A group's thresholds are averaged with those of its language, which count as much as so many of its documents; a
-# language's likewise with those of all.
+# The sketch of a language counts in those of its groups as much as so many documents; that of all in those of languages.
 PRIOR_DOCS = 100
 # Spreads above the third quartile that are still accepted.
 SPREADS = 3
@@ -111,49 +110,62 @@ def merged(sketches: DataFrame, keys: list[str]) -> DataFrame:
     return sketches.groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
 
 
+def _wide(value: Column | str) -> Column:
+    return (F.col(value) if isinstance(value, str) else value).cast("decimal(38,0)")
+
+
+def _with_prior(sketches: DataFrame, prior: DataFrame, keys: list[str], above: list[str]) -> DataFrame:
+    """Sketches to which those of the group above are added as if they were PRIOR_DOCS documents: ``(keys, measure, bucket, n)``.
+
+    ``prior`` has the same columns with the keys ``above``, some of ``keys``. As whole numbers: each count times the size
+    of the sketch above, plus PRIOR_DOCS times the count above. There are as many sums as groups and buckets.
+    """
+    renamed = prior.select(*[F.col(name).alias(f"_{name}") for name in [*above, "measure", "bucket"]], F.col("n").alias("_n"))
+    sizes = renamed.groupBy(*[f"_{name}" for name in [*above, "measure"]]).agg(F.sum("_n").alias("_all"))
+
+    def same(other: DataFrame) -> Column:
+        matched = F.col("measure") == other["_measure"]
+        for name in above:
+            matched = matched & F.col(name).eqNullSafe(other[f"_{name}"])
+        return matched
+
+    own = sketches.join(sizes, same(sizes)).select(*keys, "measure", "bucket", (_wide("n") * _wide("_all")).cast("decimal(38,0)").alias("n"))
+    groups = sketches.select(*keys, "measure").distinct()
+    added = groups.join(renamed, same(renamed)).select(
+        *keys, "measure", F.col("_bucket").alias("bucket"), (F.lit(PRIOR_DOCS) * _wide("_n")).cast("decimal(38,0)").alias("n")
+    )
+    return own.union(added).groupBy(*keys, "measure", "bucket").agg(F.sum("n").cast("decimal(38,0)").alias("n"))
+
+
 def _cuts(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group the number of documents and, as a map by measure, the greatest accepted value."""
+    """Per group and as a column for each measure the greatest accepted value."""
     group = Window.partitionBy(*keys, "measure")
-    upto = F.sum("n").over(group.orderBy("bucket"))
-    ranked = sketches.withColumn("upto", upto).withColumn("docs", F.sum("n").over(group))
+    upto, total = F.sum("n").over(group.orderBy("bucket")), F.sum("n").over(group)
+    ranked = sketches.withColumn("upto", _wide(upto)).withColumn("total", _wide(total))
     quartiles = ranked.groupBy(*keys, "measure").agg(
-        F.max("docs").alias("docs"),
-        F.min(F.when(4 * F.col("upto") >= F.col("docs"), F.col("bucket"))).alias("q1"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("docs"), F.col("bucket"))).alias("q3"),
+        F.min(F.when(4 * F.col("upto") >= F.col("total"), F.col("bucket"))).alias("q1"),
+        F.min(F.when(4 * F.col("upto") >= 3 * F.col("total"), F.col("bucket"))).alias("q3"),
     )
     least = F.create_map(*[F.lit(item) for pair in MEASURES.items() for item in pair])[F.col("measure")]
     cut = F.col("q3") + SPREADS * F.greatest(F.col("q3") - F.col("q1"), least)
-    columns = [F.max(F.when(F.col("measure") == name, cut)).alias(name) for name in MEASURES]
-    return quartiles.groupBy(*keys).agg(F.max("docs").alias("docs"), *columns)
+    return quartiles.groupBy(*keys).agg(*[F.max(F.when(F.col("measure") == name, cut)).alias(name) for name in MEASURES])
 
 
 def thresholds(measured: DataFrame) -> DataFrame:
     """The greatest accepted value of each measure per ``lang`` and ``source``, over documents that pass the base rules.
 
-    A group of n documents has the mean, in whole numbers, of its own and of its language's with weights n and
-    PRIOR_DOCS, and so has a language with those of all. So they move gradually with the group's size.
+    To a group's sketch that of its language is added with the weight of PRIOR_DOCS documents, and to that of the
+    language likewise that of all. So a small group is judged much like its language and a large one by itself, and
+    no single document switches from one to the other.
     """
     named = [F.struct(F.lit(name).alias("measure"), value.alias("value")) for name, value in zip(MEASURES, _measures())]
     values = measured.where(~F.col("base_failed")).select("lang", "source", F.explode(F.array(*named)).alias("m"))
     values = values.select("lang", "source", "m.measure", "m.value")
     fine = written(sketch(values, ["lang", "source", "measure"], "value"), "sketches")
     languages = merged(fine, ["lang", "measure"])
-    levels = [
-        (_cuts(fine, ["lang", "source"]), []),
-        (_cuts(languages, ["lang"]), ["lang"]),
-        (_cuts(merged(languages, ["measure"]), []), []),
-    ]
-    rows = levels[0][0].select("lang", "source", F.struct("docs", *MEASURES).alias("own"))
-    language = levels[1][0].select(F.col("lang").alias("_lang"), F.struct("docs", *MEASURES).alias("language"))
-    every = levels[2][0].select(F.struct("docs", *MEASURES)).scalar()
-    rows = rows.join(language, F.col("lang").eqNullSafe(F.col("_lang")))
-    # One row, with a number for each measure.
-    rows = rows.withColumn("every", every)
-    cuts = []
-    for name in MEASURES:
-        language = f"(language.docs * language.{name} + {PRIOR_DOCS} * every.{name}) div (language.docs + {PRIOR_DOCS})"
-        cuts.append(F.expr(f"(own.docs * own.{name} + {PRIOR_DOCS} * ({language})) div (own.docs + {PRIOR_DOCS})").alias(name))
-    return rows.select("lang", "source", F.struct(*cuts).alias("cut"))
+    languages = written(_with_prior(languages, merged(languages, ["measure"]), ["lang"], []), "sketches")
+    rows = _cuts(_with_prior(fine, languages, ["lang", "source"], ["lang"]), ["lang", "source"])
+    return rows.select("lang", "source", F.struct(*MEASURES).alias("cut"))
 
 
 def _judged(docs: DataFrame, carried: list[str], text_col: str, lang_col: str, source_col: str) -> DataFrame:
@@ -231,23 +243,33 @@ WITH rows AS (
 ), bucketed AS (
   SELECT lang, source, measure, (v >> d) << d AS b
   FROM (SELECT *, greatest(length(ltrim(bin(v), '0')) - {BITS}, 0) AS d FROM long)
-), levels AS (
-  SELECT 0 AS level, lang, source, measure, b FROM bucketed
-  UNION ALL SELECT 1, lang, NULL, measure, b FROM bucketed
-  UNION ALL SELECT 2, NULL, NULL, measure, b FROM bucketed
-), cuts AS (
-  SELECT level, lang, source, measure, count(*) AS docs, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3
-  FROM levels GROUP BY ALL
-), limits AS (
-  SELECT *, q3 + {SPREADS} * greatest(q3 - q1, CASE measure {" ".join(f"WHEN '{k}' THEN {v}" for k, v in MEASURES.items())} END) AS cut
-  FROM cuts
+), own AS (
+  SELECT lang, source, measure, b, count(*)::HUGEINT AS n FROM bucketed GROUP BY ALL
+), every AS (
+  SELECT measure, b, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY measure) AS total FROM own GROUP BY measure, b
+), languages AS (
+  SELECT lang, measure, b, sum(n) AS n FROM (
+    SELECT lang, o.measure, o.b, n * total AS n FROM own o JOIN (SELECT DISTINCT measure, total FROM every) t USING (measure)
+    UNION ALL SELECT lang, measure, e.b, {PRIOR_DOCS} * e.n FROM (SELECT DISTINCT lang, measure FROM own) JOIN every e USING (measure)
+  ) GROUP BY ALL
+), sizes AS (
+  SELECT lang, measure, sum(n) AS total FROM languages GROUP BY ALL
+), mixed AS (
+  SELECT lang, source, measure, b, sum(n) AS n FROM (
+    SELECT o.lang, source, o.measure, b, n * total AS n FROM own o
+    JOIN sizes t ON t.measure = o.measure AND t.lang IS NOT DISTINCT FROM o.lang
+    UNION ALL SELECT g.lang, source, g.measure, b, {PRIOR_DOCS} * n FROM (SELECT DISTINCT lang, source, measure FROM own) g
+    JOIN languages l ON l.measure = g.measure AND l.lang IS NOT DISTINCT FROM g.lang
+  ) GROUP BY ALL
+), ranked AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY b) AS upto,
+    sum(n) OVER (PARTITION BY lang, source, measure) AS total FROM mixed
+), quartiles AS (
+  SELECT lang, source, measure, min(b) FILTER (4 * upto >= total) AS q1, min(b) FILTER (4 * upto >= 3 * total) AS q3
+  FROM ranked GROUP BY ALL
 ), chosen AS (
-  SELECT g.lang, g.source, g.measure,
-    (g.docs * g.cut + {PRIOR_DOCS} * ((l.docs * l.cut + {PRIOR_DOCS} * e.cut) // (l.docs + {PRIOR_DOCS}))) // (g.docs + {PRIOR_DOCS}) AS cut
-  FROM limits g
-  JOIN limits l ON l.level = 1 AND l.measure = g.measure AND l.lang IS NOT DISTINCT FROM g.lang
-  JOIN limits e ON e.level = 2 AND e.measure = g.measure
-  WHERE g.level = 0
+  SELECT *, q3 + {SPREADS} * greatest(q3 - q1, CASE measure {" ".join(f"WHEN '{k}' THEN {v}" for k, v in MEASURES.items())} END) AS cut
+  FROM quartiles
 ), over AS (
   SELECT DISTINCT k FROM long n JOIN chosen c
   ON c.measure = n.measure AND c.lang IS NOT DISTINCT FROM n.lang AND c.source IS NOT DISTINCT FROM n.source
