@@ -3,6 +3,8 @@
 import re
 import statistics
 
+import xxhash
+
 from towerlens.llm import minhash
 
 
@@ -34,6 +36,43 @@ def test_edits_and_likeness(documents, odd_texts, prose):
     assert abs(statistics.mean(errors)) < 0.02 and statistics.mean(e * e for e in errors) ** 0.5 < 0.06
 
 
+def plain_print(text):
+    """Bins and densification rebuilt one by one."""
+
+    def signed(value):
+        return value - (1 << 64) if value >> 63 else value
+
+    def chained(*numbers):
+        value = 42
+        for number in numbers:
+            value = xxhash.xxh64_intdigest(number.to_bytes(4, "little"), value)
+        return value
+
+    words = [word.encode() for word in re.findall(r"[^\x20\x09-\x0D]+", text)]
+    least = {}
+    for at in range(max(1, len(words) - minhash.SHINGLE + 1)):
+        value = 42
+        for word in words[at : at + minhash.SHINGLE]:
+            value = xxhash.xxh64_intdigest(word, value)
+        value = signed(value)
+        number = (value >> (64 - minhash.BIN_BITS)) + minhash.BINS // 2
+        least[number] = min(least.get(number, value), value)
+    out = []
+    for own in range(minhash.BINS):
+        walk = [own, *[signed(chained(minhash.SEED, step, own)) % minhash.BINS for step in range(minhash.STEPS)]]
+        filled = next((number for number in walk if number in least), None)
+        if filled is None:
+            filled = min(least, key=lambda number: signed(chained(minhash.SEED, number, own)))
+        out.append(f"{least[filled] & 255:02x}")
+    return "".join(out)
+
+
+def test_equals_a_plain_version(documents, odd_texts, prose):
+    texts = odd_texts + prose + [" ".join(f"t{n * n % 1009}" for n in range(2500)), "one two three four five six seven"]
+    for row in minhash.fingerprints(documents(texts)).collect():
+        assert row.fingerprint == plain_print(texts[row.doc_id] or ""), texts[row.doc_id]
+
+
 def test_fingerprints_are_the_same_alone(documents, prose):
     docs = documents(prose[:20])
     alone = {r.doc_id: r.fingerprint for r in minhash.fingerprints(docs).collect()}

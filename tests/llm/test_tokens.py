@@ -3,6 +3,7 @@
 import hashlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -62,3 +63,23 @@ def test_repeated_and_null_ids_and_empty_tables(spark, documents):
     ]
     assert token_counts.token_counts(documents([]), WORDS).count() == 0
     assert pieces.encoded(documents([]), PIECES).count() == 0
+
+
+def test_tokenizers_that_keep_white_space_are_refused(documents):
+    token_counts.check_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    with pytest.raises(ValueError, match="white space"):
+        token_counts.token_counts(documents(["a b"]), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_groups_do_not_grow_with_the_number_of_blocks(documents, monkeypatch):
+    """Many small blocks: pieces are looked at as a stream of slices, in batches, and none is gathered over all blocks."""
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 50)
+    texts = [f"word{n % 7} more words {n}" for n in range(300)]
+    seen = blocks.looked_up(
+        blocks.blocks(documents(texts), "doc_id", "text", bytes.split, in_order=False),
+        lambda pieces: {"n": pa.array([len(pieces)] * len(pieces), pa.uint32())},
+        "n binary",
+    )
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroups" not in plan
+    assert seen.select("in_block").distinct().count() > 50

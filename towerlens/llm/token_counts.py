@@ -15,6 +15,24 @@ from pyspark.sql import functions as F
 from towerlens.llm.blocks import blocks, by_place, looked_up, ranks, unpacked
 
 
+def check_tokenizer(path: str) -> None:
+    """Refuses a tokenizer that doesn't drop ASCII white space, so that tokens of neighbouring words depend on each other."""
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(path)
+    model.no_truncation()
+    model.no_padding()
+
+    def ids(text: str) -> list[int]:
+        return model.encode(text, add_special_tokens=False).ids
+
+    words = ["a", "Word", "don't", "12", "é", "!?", "日本", "_x_"]
+    spaces = [" ", "\t", "\n", "\x0b", "\x0c", "\r", "  "]
+    apart = all(ids(a + space + b) == ids(a) + ids(b) for a in words for b in words for space in spaces)
+    if not apart or any(ids(space + word + space) != ids(word) for word in words for space in spaces):
+        raise ValueError("the tokenizer's tokens aren't bounded by white space")
+
+
 def _counter(path: str) -> Callable[[list[str]], dict[str, pa.Array]]:
     """Pieces to numbers of tokens, by the tokenizer in ``path``, which a task loads once."""
     loaded = []
@@ -36,10 +54,11 @@ def _counter(path: str) -> Callable[[list[str]], dict[str, pa.Array]]:
 def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_bytes, n_tokens)`` of every document, as the tokenizer file gives them without added tokens.
 
-    ``tokenizer`` must drop white space, so that no token crosses it: then the tokens of a text are those of its
+    ``tokenizer`` must drop white space, so that no token crosses it (``check_tokenizer``): then the tokens of a text are those of its
     pieces between ASCII white space. Each distinct piece of the corpus is tokenized once, its number of tokens is
     joined to the dictionaries of the blocks, and a document's count is the sum over its piece frequencies.
     """
+    check_tokenizer(tokenizer)
     table = blocks(docs, id_col, text_col, bytes.split, in_order=False)
     numbers = looked_up(table, _counter(tokenizer), "n_tokens binary")
     kind = dict(docs.select(id_col).dtypes)[id_col]
