@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from towerlens.operators.lookups import lookup_join, salted_join, size_of
-from towerlens.sources.workspace import forget_written, shared_folder, written
+from towerlens.sources.workspace import forget_written, shared_folder, written, written_in_buckets
 
 
 @pytest.fixture
@@ -129,3 +129,10 @@ def test_written_tables_are_forgotten(spark, tables):
     assert os.path.exists(path)
     assert forget_written(spark) >= 1 and not os.path.exists(path)
     assert forget_written(spark) == 0
+
+
+def test_bucketed_tables_are_forgotten(spark):
+    table = written_in_buckets(spark.range(10).toDF("k"), "some-rows", 4, "k")
+    assert table.count() == 10 and any(t.name.startswith("some_rows_") for t in spark.catalog.listTables())
+    assert forget_written(spark) >= 1
+    assert not any(t.name.startswith("some_rows_") for t in spark.catalog.listTables())

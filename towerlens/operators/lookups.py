@@ -10,8 +10,12 @@ from towerlens.sources.workspace import written
 # A lookup of up to this many bytes is broadcast: the sizes of its values and what a row costs in a hash table.
 BROADCAST_BYTES = 64 << 20
 ROW_BYTES = 32
-# The sketch of frequent keys follows so many at once; a key that holds a partition's share of the rows can't hide.
+# The sketch of frequent keys follows so many at once for each shuffle partition, and so many at least. A sketch of m keys finds
+# every key that holds more than about 3.5 / m of the rows, so one that overfills a partition can't hide.
 SKETCHED_KEYS = 10_000
+SKETCHED_PER_PARTITION = 8
+# The most that Spark's sketch takes.
+MOST_SKETCHED = 1_000_000
 
 
 def lookup_join(
@@ -53,10 +57,12 @@ def _common(rows: DataFrame, lookup: DataFrame, on: Sequence[str]) -> list[str]:
 def hot_keys(rows: DataFrame, key_hash: Column, partitions: int) -> list[int]:
     """Hashes of the keys that hold more than one partition's share of the rows, at most ``partitions`` of them.
 
-    They are found once, by a frequent-items sketch of every task merged on the way.
+    They are found once, by a frequent-items sketch of every task merged on the way. Its size follows the number of
+    partitions, up to 125,000 of them; beyond, a key of less than about 3.5 in a million rows isn't spread.
     """
-    kept = min(partitions, SKETCHED_KEYS // 2)
-    top = F.expr(f"approx_top_k(key_hash, {kept}, {SKETCHED_KEYS})")
+    sketched = min(max(SKETCHED_KEYS, SKETCHED_PER_PARTITION * partitions), MOST_SKETCHED)
+    kept = min(partitions, sketched // 2)
+    top = F.expr(f"approx_top_k(key_hash, {kept}, {sketched})")
     found = rows.select(key_hash.alias("key_hash")).agg(F.count("*").alias("n"), top.alias("top")).first()
     return [item["item"] for item in found["top"] or [] if item["count"] * partitions > found["n"]]
 

@@ -26,6 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _made: dict[str, list[str]] = {}
+_tables: dict[str, list[str]] = {}
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -37,8 +38,11 @@ def new_path(spark: SparkSession, name: str) -> str:
 def forget_written(spark: SparkSession) -> int:
     """Deletes the tables this session has written on its way, and says how many.
 
-    To be called when the results that read them have been saved; until then nothing is removed.
+    To be called when the results that read them have been saved; until then nothing is removed. Bucketed ones go
+    from the session's catalog too.
     """
+    for table in _tables.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     paths = _made.pop(spark.sparkContext.applicationId, [])
     jvm, settings = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for name in paths:
@@ -55,3 +59,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written_in_buckets(df: DataFrame, name: str, buckets: int, *columns: str) -> DataFrame:
+    """As ``written``, in buckets by ``columns``, so that joins and groups by them leave the rows where they are."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    table = path.rpartition("/")[2].replace("-", "_")
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(table)
+    df.write.bucketBy(buckets, *columns).option("path", path).option("compression", "zstd").saveAsTable(table)
+    return spark.table(table)
