@@ -1,6 +1,7 @@
 """Repeated passages against a count of all windows."""
 
 import hashlib
+import random
 from collections import Counter
 
 from towerlens.llm import substrings
@@ -68,3 +69,33 @@ def test_cleaned_leaves_clean_texts_as_they_are(spark):
 def test_empty_table(documents):
     assert substrings.removals(documents([])).count() == 0
     assert substrings.cleaned(documents([])).count() == 0
+
+
+def test_factors_and_literals_give_every_text(documents, odd_texts, prose):
+    """Each text put together again from its literals and the words of its references."""
+    chance = random.Random(12)
+    page = " ".join(f"r{chance.getrandbits(12)}" for _ in range(400))
+    halves = [page[:1500], page[900:], f"{page[200:1400]} between {page[100:900]}"]
+    docs = documents(odd_texts + prose + halves + [page, "x " * 200])
+    texts = {row.key: words_of(row.text) for row in docs.select("text", *substrings._keys("text")).collect()}
+    n_factors, longest = 0, 0
+    for row in substrings.parsed(docs).collect():
+        own, rebuilt, done = texts[row.key], [], 0
+        for factor in row.factors:
+            assert done <= factor.start < factor.end <= row.n_words
+            copied = texts[factor.reference][factor.place : factor.place + factor.end - factor.start]
+            rebuilt += own[done : factor.start] + copied
+            done = factor.end
+            longest = max(longest, len(copied))
+        assert rebuilt + own[done:] == own
+        assert sum(factor.end - factor.start for factor in row.factors) == row.n_removed
+        n_factors += len(row.factors)
+    # Factors go on over many blocks of one reference.
+    assert n_factors > 100 and longest >= 150
+
+
+def test_parse_takes_what_reaches_farthest():
+    spans = [(2, 6, 7, 20), (0, 4, 5, 10), (3, 9, 5, 13), (9, 12, 5, 19), (20, 30, 1, 0), (21, 25, 1, 1)]
+    assert substrings.parse(spans, 28) == [(0, 12, 5, 10), (20, 28, 1, 0)]
+    assert substrings.parse([(0, 4, 5, 10), (2, 9, 6, 0)], 9) == [(0, 4, 5, 10), (4, 9, 6, 2)]
+    assert substrings.parse([], 5) == []

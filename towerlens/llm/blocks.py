@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from towerlens.sources.workspace import new_path
+from towerlens.sources.workspace import written_in_buckets
 
 # Bytes of text in one block; a longer text is a block of its own.
 BLOCK_BYTES = 32 << 20
@@ -127,11 +127,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, cut: Callable[[bytes], l
         if size:
             yield block.rows(number, SLICES * buckets, arrow)
 
-    path = new_path(spark, "blocks")
-    table = path.rpartition("/")[2].replace("-", "_")
-    writer = slim.mapInArrow(made, schema).write.bucketBy(buckets, "block")
-    writer.option("path", path).option("compression", "zstd").saveAsTable(table)
-    return spark.table(table)
+    return written_in_buckets(slim.mapInArrow(made, schema), "blocks", buckets, "block")
 
 
 def looked_up(table: DataFrame, find: Callable[[list[str]], dict[str, pa.Array]], schema: str) -> DataFrame:

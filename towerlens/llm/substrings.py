@@ -6,12 +6,14 @@ start anywhere else, in the same document or another. The corpus is its own refe
 1. Each window has an anchor, its first k-gram of least hash, so equal windows have equal anchors at equal offsets.
    An anchor with the words around it that its windows can reach is a reference block. Blocks are indexed by
    the hashes of anchor and block.
-2. Each document is parsed from left to right: where a block stands elsewhere too, a factor begins, and it extends
-   greedily over the following blocks that do. A block is as long as a window or longer, so all of a factor is
-   a repeated span.
-3. At the boundaries of factors a window may be repeated although its block isn't. Such windows can only
+2. Where a block stands elsewhere too, its words can be copied from a reference: the text of least key that has it. A
+   block is as long as a window or longer, so all of it is a repeated span.
+3. At the boundaries of such blocks a window may be repeated although its block isn't. Such windows can only
    belong to an anchor that occurs with several different blocks; these are looked up one by one, by a
-   128-bit hash. A block that occurs several times offers its windows once.
+   128-bit hash. A block that occurs several times offers its windows once. A window has a reference likewise.
+4. Each text is parsed from left to right: a factor begins at the first word that can be copied, takes the span that
+   reaches farthest, and goes on as long as the next span continues the same place of the same reference. Words in
+   no factor are literals. The words of factors are what is repeated.
 
 All counts are combined before they are shuffled, and no group of equal anchors, blocks or windows is ever
 gathered. Equal texts are parsed once and weighted by their number.
@@ -21,7 +23,7 @@ rows; repeated rows each get their row. Only the id and text columns are read, a
 others in a struct, so any names are fine.
 """
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from towerlens.sources.workspace import new_path, written
+from towerlens.sources.workspace import written, written_in_buckets
 
 WINDOW = 35
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -153,28 +155,59 @@ def _boundary_windows(window: int):
     return found
 
 
+def parse(spans: Iterable[tuple[int, int, int, int]], n_words: int) -> list[tuple[int, int, int, int]]:
+    """Factors ``(start, end, reference, place)`` of a text from left to right, by spans of the same form that can be copied.
+
+    A span says that its words stand in the text ``reference`` from ``place`` on. Of the spans that hold the first word
+    that isn't parsed yet the one that reaches farthest is taken.
+    """
+    waiting = sorted(spans)
+    found: list[tuple[int, int, int, int]] = []
+    at, done = 0, 0
+    while at < len(waiting):
+        first = max(done, waiting[at][0])
+        best = None
+        while at < len(waiting) and waiting[at][0] <= first:
+            if best is None or waiting[at][1] > best[1]:
+                best = waiting[at]
+            at += 1
+        start, end, reference, place = best[0], min(best[1], n_words), best[2], best[3]
+        if end <= first:
+            continue
+        place += first - start
+        last = found[-1] if found else None
+        if last and last[1] == first and last[2] == reference and last[3] + first - last[0] == place:
+            found[-1] = (last[0], end, reference, last[3])
+        else:
+            found.append((first, end, reference, place))
+        done = end
+    return found
+
+
 def _kept(as_it_was: bool):
-    """Texts and their spans to the words that stay; with ``as_it_was``, a text that loses none isn't touched."""
+    """Texts and their spans to factors and the words that stay; with ``as_it_was``, a text that loses none isn't touched."""
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("reference", pa.int64()), ("place", pa.int32())]))
+    names = ["start", "end", "reference", "place"]
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for key, check, text, starts, ends in zip(*(column.to_pylist() for column in batch.columns)):
+            for key, check, text, *lists in zip(*(column.to_pylist() for column in batch.columns)):
                 words = text.split()
-                edges = np.zeros(len(words) + 1, np.int64)
-                np.add.at(edges, starts or [], 1)
-                np.add.at(edges, np.minimum(ends or [], len(words)).astype(np.int64), -1)
-                gone = np.cumsum(edges[:-1]) > 0
-                removed = int(gone.sum())
-                if removed:
-                    left = b" ".join([word for word, out in zip(words, gone.tolist()) if not out])
-                else:
-                    left = text if as_it_was else b" ".join(words)
-                rows.append((key, check, len(words), removed, left.decode()))
-            columns = list(zip(*rows)) or [()] * 5
-            types = [pa.int64()] * 4 + [pa.string()]
-            names = ["key", "check", "n_words", "n_removed", "kept"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+                factors = parse(zip(*lists), len(words)) if lists[0] else []
+                left, done, removed = [], 0, 0
+                for start, end, _, _ in factors:
+                    left += words[done:start]
+                    removed += end - start
+                    done = end
+                if removed or not as_it_was:
+                    text = b" ".join(left + words[done:])
+                rows.append((key, check, len(words), removed, text.decode(), [dict(zip(names, one)) for one in factors]))
+            columns = list(zip(*rows)) or [()] * 6
+            types = [pa.int64()] * 4 + [pa.string(), kind]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types)], ["key", "check", "n_words", "n_removed", "kept", "factors"]
+            )
 
     return found
 
@@ -190,58 +223,71 @@ def _texts(docs: DataFrame, text_col: str) -> DataFrame:
     text = F.coalesce(text_col, F.lit("")).alias("text")
     rows = docs.select(*_keys(text_col), text).groupBy("key", "check")
     rows = rows.agg(F.count("*").alias("copies"), F.first("text").cast("binary").alias("text"))
-    path = new_path(spark, "texts")
-    table = path.rpartition("/")[2].replace("-", "_")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = rows.write.bucketBy(buckets, "key", "check").option("path", path).option("compression", "zstd")
-    writer.saveAsTable(table)
-    return spark.table(table)
+    return written_in_buckets(rows, "texts", int(spark.conf.get("spark.sql.shuffle.partitions")), "key", "check")
 
 
 def parsed(docs: DataFrame, text_col: str = "text", window: int = WINDOW, as_it_was: bool = False) -> DataFrame:
-    """``(key, check, n_words, n_removed, kept)`` of every distinct text; ``kept`` has its words that stay."""
+    """``(key, check, n_words, n_removed, kept, factors)`` of every distinct text; ``kept`` has its words that stay.
+
+    A factor is ``(start, end, reference, place)``: words of the text, and where they stand in the text of the key
+    ``reference``, which may be the text itself where it is the reference of others.
+    """
     texts = _texts(docs, text_col)
     schema = "key long, check long, copies long, at int, anchor long, block long"
     index = texts.select("key", "check", "copies", "text").mapInArrow(_blocks(window), schema)
     groups = index.groupBy("anchor").agg(
-        F.sum("copies").alias("n"), F.min("block").alias("least"), F.max("block").alias("most")
+        F.sum("copies").alias("n"),
+        F.min("block").alias("least"),
+        F.max("block").alias("most"),
+        F.min("key").alias("reference"),
+        F.min_by("at", "key").alias("place"),
     )
-    groups = groups.where("n > 1").select("anchor", (F.col("least") != F.col("most")).alias("several"))
+    groups = groups.where("n > 1").select("anchor", (F.col("least") != F.col("most")).alias("several"), "reference", "place")
     # Written, as the rows of a frequent key are split only in joins of plain exchanges.
     repeated = written(index.join(written(groups, "anchors"), "anchor"), "repeated")
 
-    # Anchors with several blocks: those that occur twice are factors as well, and one place offers their windows.
-    several = repeated.where("several")
+    # Anchors with several blocks: those that occur twice can be copied as well, and one place offers their windows.
+    several = repeated.where("several").drop("reference", "place")
     place = F.xxhash64("key", "check", "at")
-    alike = several.groupBy("anchor", "block").agg(F.sum("copies").alias("n"), F.min(place).alias("offering"))
+    alike = several.groupBy("anchor", "block").agg(
+        F.sum("copies").alias("n"), F.min(place).alias("offering"), F.min("key").alias("reference"), F.min_by("at", "key").alias("place")
+    )
     several = several.join(written(alike, "alike"), ["anchor", "block"])
     status = (
         F.when(F.col("n") == 1, SINGLE).when(F.col("offering") == place, OFFERED).otherwise(FACTOR).alias("status")
     )
-    several = written(several.select("key", "check", "at", status), "several")
+    several = written(several.select("key", "check", "at", status, "reference", "place"), "several")
     asked = several.where(F.col("status") != FACTOR).groupBy("key", "check")
     asked = asked.agg(F.collect_list("at").alias("at"), F.collect_list("status").alias("status"))
     asked = texts.select("key", "check", "text").join(asked, ["key", "check"])
     schema = "key long, check long, start long, weight long, window long, other long"
     windows = written(asked.mapInArrow(_boundary_windows(window), schema), "windows")
-    again = windows.groupBy("window", "other").agg(F.sum("weight").alias("n")).where("n > 1").drop("n")
+    again = windows.groupBy("window", "other").agg(
+        F.sum("weight").alias("n"), F.min("key").alias("reference"), F.min_by("start", "key").alias("place")
+    )
+    again = again.where("n > 1").drop("n")
     matched = windows.where("weight = 1").join(written(again, "again"), ["window", "other"])
 
     k = window // 2 + 1
-    factors = repeated.where("not several").select("key", "check", "at")
-    factors = factors.union(several.where(F.col("status") != SINGLE).select("key", "check", "at"))
-    spans = factors.select(
-        "key", "check", F.greatest(F.col("at") - (window - k), F.lit(0)).alias("start"), (F.col("at") + window).alias("end")
-    ).union(matched.select("key", "check", F.col("start").cast("int"), (F.col("start") + window).cast("int")))
-    spans = spans.groupBy("key", "check").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
+    blocks = repeated.where("not several").select("key", "check", "at", "reference", "place")
+    blocks = blocks.union(several.where(F.col("status") != SINGLE).select("key", "check", "at", "reference", "place"))
+    before = F.least(F.col("at"), F.lit(window - k))
+    spans = blocks.select(
+        "key", "check", (F.col("at") - before).alias("start"), (F.col("at") + window).alias("end"), "reference", (F.col("place") - before).alias("place")
+    )
+    of_windows = [F.col("start").cast("int"), (F.col("start") + window).cast("int"), F.col("reference"), F.col("place").cast("int")]
+    spans = spans.union(matched.select("key", "check", *of_windows)).groupBy("key", "check")
+    # The lists of one aggregate are in the same order.
+    spans = spans.agg(*[F.collect_list(name).alias(name) for name in ("start", "end", "reference", "place")])
     rows = texts.select("key", "check", "text").join(spans, ["key", "check"], "left")
-    return rows.mapInArrow(_kept(as_it_was), "key long, check long, n_words long, n_removed long, kept string")
+    schema = "key long, check long, n_words long, n_removed long, kept string, "
+    return rows.mapInArrow(_kept(as_it_was), schema + "factors array<struct<start: int, end: int, reference: long, place: int>>")
 
 
 def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """One row per document: its id, ``n_words``, ``n_removed`` and ``kept_sha256``, the digest of the words that
     stay, joined by one space."""
-    rows = parsed(docs, text_col, window)
+    rows = parsed(docs, text_col, window).drop("factors")
     rows = rows.select("key", "check", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
     names = docs.select(F.col(id_col).alias(id_col), *_keys(text_col))
     return names.join(rows, ["key", "check"]).drop("key", "check")
