@@ -1,11 +1,12 @@
-"""Token counts per document, from one count per distinct piece of text.
+"""Token counts per document, from one count per distinct pre-token.
 
 Defined results: a null text is an empty text with no tokens; repeated rows each get their row, whatever their
 id; an empty table gives no rows. Only the id and text columns are read.
 """
 
 import os
-from collections.abc import Callable
+import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,12 @@ from pyspark.sql import functions as F
 from towerlens.llm.blocks import blocks, by_place, looked_up, ranks, unpacked
 
 
+# Runs whose pre-tokens a task remembers at a time.
+REMEMBERED = 200_000
+# In front of a special token; no character of Unicode texts.
+SPECIAL = "\U0010ffff"
+
+
 def check_tokenizer(path: str) -> None:
     """Refuses a tokenizer that doesn't drop ASCII white space, so that tokens of neighbouring words depend on each other."""
     from tokenizers import Tokenizer
@@ -33,34 +40,62 @@ def check_tokenizer(path: str) -> None:
         raise ValueError("the tokenizer's tokens aren't bounded by white space")
 
 
-def _counter(path: str) -> Callable[[list[str]], dict[str, pa.Array]]:
-    """Pieces to numbers of tokens, by the tokenizer in ``path``, which a task loads once."""
-    loaded = []
+class _PreTokens(dict):
+    """The pre-tokens of runs between white space, each run cut once while it is remembered.
 
-    def counted(pieces: list[str]) -> dict[str, pa.Array]:
-        if not loaded:
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            from tokenizers import Tokenizer
-
-            loaded.append(Tokenizer.from_file(path))
-            loaded[0].no_truncation()
-            loaded[0].no_padding()
-        found = loaded[0].encode_batch_fast(pieces, add_special_tokens=False)
-        return {"n_tokens": pa.array([len(one.ids) for one in found], pa.uint32())}
+    Special tokens inside a run, as the tokenizer finds them by default, are pieces of their own behind SPECIAL.
+    """
 
-    return counted
+    def __init__(self, path: str) -> None:
+        super().__init__()
+        self.path, self.model, self.special = path, None, None
+
+    def load(self) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.model = Tokenizer.from_file(self.path)
+        special = sorted((token.content for token in self.model.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
+
+    def __missing__(self, run: bytes) -> list[str]:
+        if self.model is None:
+            self.load()
+        if len(self) >= REMEMBERED:
+            self.clear()
+        parts = self.special.split(run.decode()) if self.special else [run.decode()]
+        found = []
+        for place, part in enumerate(parts):
+            if place % 2:
+                found.append(SPECIAL + part)
+                continue
+            part = self.model.normalizer.normalize_str(part) if self.model.normalizer else part
+            found += [piece for piece, _ in self.model.pre_tokenizer.pre_tokenize_str(part)] if self.model.pre_tokenizer else [part]
+        self[run] = found
+        return found
+
+    def cut(self, text: bytes) -> list[str]:
+        return list(chain.from_iterable(map(self.__getitem__, text.split())))
+
+    def counted(self, pieces: list[str]) -> dict[str, pa.Array]:
+        """The number of tokens of each pre-token."""
+        if self.model is None:
+            self.load()
+        tokenize = self.model.model.tokenize
+        return {"n_tokens": pa.array([1 if piece.startswith(SPECIAL) else len(tokenize(piece)) for piece in pieces], pa.uint32())}
 
 
 def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_bytes, n_tokens)`` of every document, as the tokenizer file gives them without added tokens.
 
-    ``tokenizer`` must drop white space, so that no token crosses it (``check_tokenizer``): then the tokens of a text are those of its
-    pieces between ASCII white space. Each distinct piece of the corpus is tokenized once, its number of tokens is
-    joined to the dictionaries of the blocks, and a document's count is the sum over its piece frequencies.
+    ``tokenizer`` must drop white space, so that no token crosses it (``check_tokenizer``): then the tokens of a text are
+    those of the pre-tokens of its runs between ASCII white space. Each distinct pre-token is tokenized once, its number
+    of tokens is joined to the dictionaries of the blocks, and a document's count is the sum over its pre-token frequencies.
     """
     check_tokenizer(tokenizer)
-    table = blocks(docs, id_col, text_col, bytes.split, in_order=False)
-    numbers = looked_up(table, _counter(tokenizer), "n_tokens binary")
+    pieces = _PreTokens(tokenizer)
+    table = blocks(docs, id_col, text_col, pieces.cut, in_order=False)
+    numbers = looked_up(table, pieces.counted, "n_tokens binary")
     kind = dict(docs.select(id_col).dtypes)[id_col]
 
     def summed(left: pa.Table, right: pa.Table) -> pa.Table:
