@@ -6,6 +6,7 @@ a component while another id can; an empty table gives no rows. Only the id and
 further columns cannot clash.
 """
 
+import re
 from collections.abc import Iterator
 from itertools import accumulate, combinations, repeat
 
@@ -20,28 +21,45 @@ from towerlens.sources.workspace import written
 
 BITS = 64
 SEED = 42
-# Shingles whose bits are counted together; bounds the memory a very long text takes.
-BLOCK = 1 << 15
+# Bytes of a text whose shingles are hashed together; bounds the memory a very long text takes.
+BLOCK = 1 << 18
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 # A segment value held by more distinct fingerprints than this is searched over whole fingerprints instead.
 DENSE = 64
 
 
+def _parts(text: bytes) -> Iterator[bytes]:
+    """The text in parts of about BLOCK bytes that end between words."""
+    at = 0
+    while at < len(text):
+        space = _SPACE.search(text, at + BLOCK)
+        end = space.start() if space else len(text)
+        yield text[at:end]
+        at = end
+
+
 def fingerprint(text: bytes, shingle: int = 3) -> int:
     """SimHash of lower-cased word shingles, as a signed 64-bit number."""
-    words = text.lower().split()
-    if not words:
-        return 0
+    counts, total, words = np.zeros(BITS, np.int64), 0, []
+    for part in _parts(text):
+        # The last words of the part before start the first shingles of this one.
+        words = words[len(words) - shingle + 1 :] if len(words) >= shingle else words
+        words += part.lower().split()
+        total += _add(counts, words, shingle) if len(words) >= shingle else 0
+    if not total and words:
+        total = _add(counts, words, len(words))
+    ones = np.packbits(2 * counts > total, bitorder="little")
+    return int(ones.view("<i8")[0]) if total else 0
+
+
+def _add(counts: np.ndarray, words: list[bytes], shingle: int) -> int:
+    """Adds the bits of all shingles of ``words`` to ``counts``, and returns how many there are."""
     line = b" ".join(words)
     ends = list(accumulate(len(word) + 1 for word in words))
-    firsts = [0, *ends[:-shingle]] if len(words) > shingle else [0]
-    lasts = ends[min(shingle, len(words)) - 1 :]
-    counts = np.zeros(BITS, np.int64)
-    for at in range(0, len(firsts), BLOCK):
-        pieces = [line[a : b - 1] for a, b in zip(firsts[at : at + BLOCK], lasts[at : at + BLOCK])]
-        hashes = np.fromiter(map(xxh64_intdigest, pieces, repeat(SEED)), "<u8", len(pieces))
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int32)
-    ones = np.packbits(2 * counts > len(firsts), bitorder="little")
-    return int(ones.view("<i8")[0])
+    pieces = [line[a : b - 1] for a, b in zip([0, *ends], ends[shingle - 1 :])]
+    hashes = np.fromiter(map(xxh64_intdigest, pieces, repeat(SEED)), "<u8", len(pieces))
+    counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int32)
+    return len(pieces)
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
