@@ -30,6 +30,19 @@ def test_shortages_go_to_siblings_first(spark):
     assert sorted(r.budget for r in everything.collect()) == [0, 20, 200, 2000, 10000]
 
 
+def test_weights_of_zero_have_no_budget(spark):
+    leaves = [("a", "x", 100), ("a", "y", 50), ("b", "x", 300), ("b", "z", 10)]
+    supplies = spark.createDataFrame([(*leaf, 1) for leaf in leaves], "d string, l string, supply long, n_docs long")
+
+    def found(weights):
+        return {(r.d, r.l): r.budget for r in mixing.budgets(supplies, ["d", "l"], weights, (1, 2), 1).collect()}
+
+    # Half of 460 tokens: what x may not take goes to its siblings first, then to those of their parent.
+    assert found({"l": {"x": 0}}) == {("a", "x"): 0, ("a", "y"): 50, ("b", "x"): 0, ("b", "z"): 10}
+    assert found({"d": {"a": 0}}) == {("a", "x"): 0, ("a", "y"): 0, ("b", "x"): 220, ("b", "z"): 10}
+    assert set(found({"d": {"a": 0, "b": 0}}).values()) == {0}
+
+
 def test_epochs_and_prefixes(documents, monkeypatch):
     docs = documents([f"{'w ' * (1 + n % 5)}" for n in range(200)] + [None, ""])
     levels = {"lang": F.col("lang")}
