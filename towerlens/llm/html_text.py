@@ -65,6 +65,8 @@ WHOLE = 90
 ADJACENT, SIBLING, SECTION = 60, 60, 30
 
 _NAME = re.compile(r"(/?)([A-Za-z][^\s/>]*)")
+# An ordinary tag, with neither < nor > in its values; others are read piece by piece.
+_TAG = re.compile(r"""<(/?)([A-Za-z][^\s/<>"']*)(?=[\s/>])((?:[^<>"']++|"[^"<>]*+"|'[^'<>]*+')*+)>""")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
@@ -146,6 +148,11 @@ class _Tokens:
                 self.at = end if end >= 0 else len(html)
                 yield html[at : self.at], False, "", ""
                 continue
+            tag = _TAG.match(html, at)
+            if tag is not None:
+                self.at = tag.end()
+                yield "", bool(tag[1]), tag[2].lower(), tag[3]
+                continue
             name = _NAME.match(html, at + 1)
             if name is None:
                 if html.startswith("<!--", at):
