@@ -22,8 +22,13 @@ def known_text(column: Column) -> Column:
 
 
 def comma_double(column: Column) -> Column:
-    """Number from text with a decimal comma; anything else becomes null, never NaN."""
-    text = F.lower(F.translate(F.trim(column), ",", "."))
+    """Number from text with a decimal comma; anything else becomes null, never NaN.
+
+    The comma is replaced in an array of one: Spark compiles a projection with such a function column by column. The
+    columns of a wide table would else be one method, too large for the JVM to compile, which then interprets it.
+    """
+    with_point = F.transform(F.array(column), lambda text: F.replace(text, F.lit(","), F.lit(".")))
+    text = F.lower(F.trim(F.get(with_point, F.lit(0))))
     # The JVM also reads "1d" and "1f" as numbers; in a data file these are junk.
     suffixed = text.endswith("d") | (text.endswith("f") & ~text.endswith("inf"))
     return without_nan(F.when(~suffixed, text).try_cast("double"))
@@ -55,12 +60,12 @@ def range_number(value: Column, cuts: Sequence[float], dtype: str) -> Column:
 
 def comma_text(column: Column) -> Column:
     """Number written with a decimal comma."""
-    return F.translate(column.cast("string"), ".", ",")
+    return F.replace(column.cast("string"), F.lit("."), F.lit(","))
 
 
 def without_nan(column: Column) -> Column:
     """NaN counts as a value in Spark aggregates; here it means missing."""
-    return F.when(~F.isnan(column), column)
+    return F.nanvl(column, F.lit(None).cast("double"))
 
 
 def day_of(start_time: Column) -> Column:
